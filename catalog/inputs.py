@@ -94,19 +94,25 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Every source, before the dedupe."""
-    from_posts = posts(spark, sf).select(
-        "url", "title", F.concat_ws(" ", "title_clean", "text_clean").alias("text"), "author",
-        F.to_date("date").alias("day"), "score", "source")
-    from_articles = articles(spark, sf).select(
-        "url", F.col("titulo").alias("title"), F.col("contenido_clean").alias("text"), F.col("autor").alias("author"),
-        F.to_date("fecha").alias("day"), F.lit(0).cast("bigint").alias("score"), F.lit("chat").alias("source"))
+    """Every source with its whole raw text, before the dedupe."""
+    from_posts = raw_posts(spark, sf).select(
+        "url", "title", "text", "author",
+        F.to_date(F.timestamp_seconds(F.col("date").cast("double"))).alias("day"),
+        F.expr("coalesce(cast(try_cast(score AS double) AS bigint), 0)").alias("score"), "source")
+    from_articles = raw_articles(spark, sf).select(
+        "url", F.col("titulo").alias("title"), F.col("contenido").alias("text"), F.col("autor").alias("author"),
+        F.to_date(F.try_to_timestamp("fecha")).alias("day"), F.lit(0).cast("bigint").alias("score"),
+        F.lit("chat").alias("source"))
     return union_sources([from_posts, from_articles])
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """Deduplicated, cleaned and scored. Only the surviving rows are cleaned; the title of
+    a post counts as text."""
     first = dedup_url(corpus_rows(spark, sf), CORPUS_ORDER).select(*COLUMNS)
-    return with_sentiment(first, "text", POSITIVE, NEGATIVE, separator=" ")
+    title = F.when(F.col("source").eqNullSafe("chat"), None).otherwise(clean_text("title"))
+    cleaned = first.withColumn("text", F.concat_ws(" ", title, clean_text("text")))
+    return with_sentiment(cleaned, "text", POSITIVE, NEGATIVE, separator=" ")
 
 
 # The same in SQL.
@@ -179,12 +185,14 @@ CTES = {
         coalesce(CAST(trunc(TRY_CAST(score AS DOUBLE)) AS BIGINT), 0) AS score, url, source FROM raw_posts""",
     "articles": f"""SELECT titulo, autor, fecha, contenido, {clean_sql('contenido')} AS contenido_clean, url
         FROM dated_articles""",
-    "corpus_rows": """SELECT url, title, title_clean || ' ' || text_clean AS text, author, CAST(date AS DATE) AS day, score, source
-        FROM posts UNION ALL
-        SELECT url, titulo, contenido_clean, autor, CAST(fecha AS DATE), 0, 'chat' FROM articles""",
+    "corpus_rows": """SELECT url, title, text, author, CAST(make_timestamp(CAST(date AS BIGINT) * 1000000) AS DATE) AS day,
+        coalesce(CAST(trunc(TRY_CAST(score AS DOUBLE)) AS BIGINT), 0) AS score, source FROM raw_posts UNION ALL
+        SELECT url, titulo, contenido, autor, CAST(fecha AS DATE), 0, 'chat' FROM dated_articles""",
     "corpus_first": """SELECT * FROM corpus_rows QUALIFY row_number() OVER (PARTITION BY url ORDER BY
         source NULLS FIRST, day NULLS FIRST, author NULLS FIRST, score NULLS FIRST, title NULLS FIRST) = 1""",
-    "corpus_hits": f"SELECT *, {hits_sql('text', POSITIVE)} AS p, {hits_sql('text', NEGATIVE)} AS n FROM corpus_first",
+    "corpus_text": f"""SELECT * REPLACE (CASE WHEN source = 'chat' THEN '' ELSE {clean_sql('title')} || ' ' END
+        || {clean_sql('text')} AS text) FROM corpus_first""",
+    "corpus_hits": f"SELECT *, {hits_sql('text', POSITIVE)} AS p, {hits_sql('text', NEGATIVE)} AS n FROM corpus_text",
     "corpus": """SELECT url, title, text, author, day, score, source,
         CASE WHEN p + n = 0 THEN 'neutral' WHEN (p - n) / (p + n) > 0.1 THEN 'positive'
              WHEN (p - n) / (p + n) < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment,

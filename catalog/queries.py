@@ -21,7 +21,7 @@ from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
 from tertulia.plans import gold, silver as silver_plans
 from tertulia.sources import json_batches, snapshots
-from tertulia.sources.shared import shared_folder
+from tertulia.sources.shared import shared_folder, written
 from tertulia.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -544,8 +544,15 @@ add("monthly_polarity", lambda s, d: _out(analytics.monthly_polarity(_trend(s, d
     """SELECT source, CAST(CAST(date_trunc('month', day) AS DATE) AS VARCHAR) AS month,
         round(avg(avg_polarity), 6) AS avg_polarity FROM sentiment_trend
         WHERE source IS NOT NULL AND day IS NOT NULL GROUP BY 1, 2""")
+def polarity_vs_score(spark, sf):
+    """Both marts come from one written fact table, so the corpus is read once."""
+    daily = written(marts.daily_facts(i.corpus(spark, sf)), "daily")
+    return _out(analytics.polarity_vs_score(
+        marts.sentiment_trend(daily), marts.score_trend(daily, "click"), "click"))
+
+
 add("polarity_vs_score",
-    lambda s, d: _out(analytics.polarity_vs_score(_trend(s, d), marts.score_trend(i.corpus(s, d), "click"), "click")),
+    polarity_vs_score,
     """SELECT CAST(t.day AS VARCHAR) AS day, source, round(avg_polarity, 6) AS avg_polarity, record_count,
         round(avg_score, 6) AS avg_score, post_count FROM sentiment_trend t JOIN score_trend s
         ON t.day IS NOT DISTINCT FROM s.day WHERE source = 'click'""")
