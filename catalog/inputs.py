@@ -15,6 +15,7 @@ from tertulia.functions.sentiment import with_sentiment
 from tertulia.functions.text import WHITESPACE, clean_text
 from tertulia.functions.wordlists import STOPWORDS
 from tertulia.operators.corpus import COLUMNS, dedup_url, union_sources
+from tertulia.sources.spread import spread
 
 # Words that do occur in the driver documents; the default lists do not.
 POSITIVE = ("that", "with", "pour", "avec")
@@ -27,9 +28,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows are costly to clean or parse."""
+    return spread(table(spark, sf, name))
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    docs = table(spark, sf, "documents")
+    docs = text_table(spark, sf, "documents")
     return docs.join(events, docs.doc_id == events.event_id, "left")
 
 
@@ -67,7 +73,7 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_articles(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations").selectExpr(
+    return text_table(spark, sf, "conversations").selectExpr(
         "substring_index(text, '\\n', 1) AS titulo",
         "CASE WHEN role = 'system' THEN NULL ELSE role END AS autor",
         "CASE WHEN conv_id % 17 = 0 THEN 'sin fecha' ELSE concat('2024-01-', lpad(conv_id % 28 + 1, 2, '0'), "
@@ -115,6 +121,11 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return with_sentiment(cleaned, "text", POSITIVE, NEGATIVE, separator=" ")
 
 
+def corpus_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The deduplicated corpus without its text, for marts that read none."""
+    return dedup_url(corpus_rows(spark, sf).drop("text"), CORPUS_ORDER)
+
+
 # The same in SQL.
 
 WS = "'" + WHITESPACE + "'"

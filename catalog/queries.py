@@ -236,7 +236,7 @@ ARTICLE = {"body": [(".post-content", "visible"), ("article", "visible")],
 
 
 def _cards(spark, sf):
-    return pages.extract_listing(i.table(spark, sf, "pages"), keep=["page_id"], item=NAV_ITEM, fields=NAV)
+    return pages.extract_listing(i.text_table(spark, sf, "pages"), keep=["page_id"], item=NAV_ITEM, fields=NAV)
 
 
 def unescaped(c: str) -> str:
@@ -271,18 +271,18 @@ add("class_tags",
         F.lit("post tag-"), "lang", F.lit("  tag-"), F.concat_ws("-", "source", "lang"), F.lit(" untag-x"))).alias("tags")),
     "SELECT doc_id, lang || ', ' || source || ' ' || lang AS tags FROM documents")
 add("extract_detail",
-    lambda s, d: digest(pages.extract_detail(i.table(s, d, "pages"), keep=["page_id"], fields={
+    lambda s, d: digest(pages.extract_detail(i.text_table(s, d, "pages"), keep=["page_id"], fields={
         "body": [("article", "spaced")], "tags": [("*nav a", "text")]}), "body"),
     f"""SELECT p.page_id, md5(array_to_string({PARTS}, ' ')) AS body, coalesce(n.tags, '') AS tags
         FROM pages p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
 add("selector_fallback",
-    lambda s, d: digest(pages.article_fields(i.table(s, d, "pages"), keep=["page_id"], fields=ARTICLE).withColumn(
+    lambda s, d: digest(pages.article_fields(i.text_table(s, d, "pages"), keep=["page_id"], fields=ARTICLE).withColumn(
         "body", F.regexp_replace("body", r"\s+", " ")), "body"),
     f"""SELECT p.page_id, md5(CASE WHEN length(body) > 100 THEN body ELSE '' END) AS body, coalesce(n.tags, '') AS tags
         FROM (SELECT page_id, trim(regexp_replace({unescaped(f"regexp_replace(regexp_replace({BODY}, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g')")},
         '\\s+', ' ', 'g')) AS body FROM pages) p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
 add("heading_cards",
-    lambda s, d: pages.extract_cards(i.table(s, d, "pages"), keep=["page_id"], host=HOST).select(
+    lambda s, d: pages.extract_cards(i.text_table(s, d, "pages"), keep=["page_id"], host=HOST).select(
         "page_id", "item_pos", "title", "author", "date", "url", F.md5(F.regexp_replace("excerpt", r"\s+", " ")).alias("excerpt")),
     f"""SELECT page_id, CAST(0 AS INTEGER) AS item_pos,
         trim({unescaped("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}, {i.WS}) AS title,
@@ -291,7 +291,7 @@ add("heading_cards",
         (SELECT page_id, html, trim({unescaped(f"regexp_replace(regexp_extract({BODY}, '(?s)<p>(.*?)(</?p>|$)', 1), '<[^>]*>', '', 'g')")},
          {i.WS}) AS p FROM pages)""")
 add("absolute_url",
-    lambda s, d: i.table(s, d, "pages").select("page_id", t.absolute_url("url", HOST).alias("url"),
+    lambda s, d: i.text_table(s, d, "pages").select("page_id", t.absolute_url("url", HOST).alias("url"),
                                                t.absolute_url(F.concat(F.lit("/p/"), "page_id"), HOST).alias("short")),
     f"""SELECT page_id, CASE WHEN starts_with(url, 'http') THEN url ELSE '{HOST}' || url END AS url,
         '{HOST}/p/' || page_id AS short FROM pages""")
@@ -315,7 +315,7 @@ add("enrich_detail", enrich_detail, """
         md5(CASE WHEN l.extracto <> '' THEN l.extracto ELSE coalesce(substr(d.contenido, 1, 300), '') END) AS extracto,
         md5(coalesce(d.contenido, '')) AS contenido FROM listing l LEFT JOIN detail d ON l.url = d.url""")
 add("next_page",
-    lambda s, d: pages.next_page(i.table(s, d, "pages"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
+    lambda s, d: pages.next_page(i.text_table(s, d, "pages"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
     f"SELECT page_id, false AS has_next, '{HOST}/opinion/page/' || (page_id + 1) || '/' AS next_url FROM pages")
 
 
@@ -368,7 +368,7 @@ add("iqr_upper_fence",
     lambda s, d: digest(silver.iqr_upper_fence(silver_plans.valid_posts(i.raw_posts(s, d))).select(
         "title", "text", "author", "score", "url", "pos"), "text"),
     "SELECT title, md5(text) AS text, author, score, url, pos FROM kept_posts")
-add("clean_text", lambda s, d: i.table(s, d, "documents").select("doc_id", F.md5(t.clean_text("text")).alias("clean")),
+add("clean_text", lambda s, d: i.text_table(s, d, "documents").select("doc_id", F.md5(t.clean_text("text")).alias("clean")),
     f"SELECT doc_id, md5({i.clean_sql('text')}) AS clean FROM documents")
 add("select_silver",
     lambda s, d: digest(plain(silver_plans.process_posts(i.raw_posts(s, d))), "text", "text_clean"),
@@ -468,12 +468,12 @@ add("dedup_url",
 add("sentiment_label", lambda s, d: i.corpus(s, d).select("url", "sentiment"), "SELECT url, sentiment FROM corpus")
 add("polarity", lambda s, d: plain(i.corpus(s, d).select("url", "polarity")),
     "SELECT url, CAST(polarity AS DOUBLE) AS polarity FROM corpus")
-add("volume_trend", lambda s, d: _out(marts.volume_trend(i.corpus(s, d))),
+add("volume_trend", lambda s, d: _out(marts.volume_trend(i.corpus_facts(s, d))),
     f"SELECT source, {DAY}, record_count FROM volume_trend")
 add("top_keywords", lambda s, d: marts.top_keywords(i.corpus(s, d)), "SELECT * FROM top_keywords")
-add("score_trend", lambda s, d: _out(marts.score_trend(i.corpus(s, d), "click")),
+add("score_trend", lambda s, d: _out(marts.score_trend(i.corpus_facts(s, d), "click")),
     f"SELECT {DAY}, round(avg_score, 6) AS avg_score, post_count FROM score_trend")
-add("top_authors", lambda s, d: marts.top_authors(i.corpus(s, d)),
+add("top_authors", lambda s, d: marts.top_authors(i.corpus_facts(s, d)),
     """SELECT author, source, count(*) AS article_count FROM corpus GROUP BY author, source
         ORDER BY article_count DESC, author NULLS LAST, source LIMIT 20""")
 add("sentiment_dist", lambda s, d: marts.sentiment_dist(i.corpus(s, d)), "SELECT * FROM sentiment_dist")
@@ -492,8 +492,13 @@ def _trend(s, d):
     return marts.sentiment_trend(i.corpus(s, d))
 
 
+def _boxes(spark, sf):
+    """The trend is a mart: written once, then read by each step of the box figures."""
+    return analytics.polarity_box(written(_trend(spark, sf), "trend"))
+
+
 def _box(spark, sf):
-    return plain(analytics.polarity_box(_trend(spark, sf))[0], q1=6, median=6, q3=6, lower_whisker=6, upper_whisker=6)
+    return plain(_boxes(spark, sf)[0], q1=6, median=6, q3=6, lower_whisker=6, upper_whisker=6)
 
 
 HAZEN = """(SELECT source, list_sort(list(avg_polarity)) AS v, count(*) AS n FROM sentiment_trend GROUP BY source)"""
@@ -531,7 +536,7 @@ ORACLES["polarity_box"] = boxed("""SELECT source, round(q1, 6) AS q1, round(medi
     round(least(min(avg_polarity) FILTER (inside), q1), 6) AS lower_whisker,
     round(greatest(max(avg_polarity) FILTER (inside), q3), 6) AS upper_whisker,
     count(*) FILTER (NOT inside) AS outliers FROM marked GROUP BY source, marked.q1, marked.median, marked.q3""")
-add("polarity_outliers", lambda s, d: _out(analytics.polarity_box(_trend(s, d))[1]))
+add("polarity_outliers", lambda s, d: _out(_boxes(s, d)[1]))
 ORACLES["polarity_outliers"] = boxed(
     f"SELECT source, {DAY}, round(avg_polarity, 6) AS avg_polarity FROM marked WHERE NOT inside")
 add("polarity_volume", lambda s, d: _out(analytics.polarity_volume(_trend(s, d))),
@@ -556,7 +561,7 @@ add("polarity_vs_score",
     """SELECT CAST(t.day AS VARCHAR) AS day, source, round(avg_polarity, 6) AS avg_polarity, record_count,
         round(avg_score, 6) AS avg_score, post_count FROM sentiment_trend t JOIN score_trend s
         ON t.day IS NOT DISTINCT FROM s.day WHERE source = 'click'""")
-add("volume_series", lambda s, d: _out(analytics.volume_series(marts.volume_trend(i.corpus(s, d)))),
+add("volume_series", lambda s, d: _out(analytics.volume_series(marts.volume_trend(i.corpus_facts(s, d)))),
     f"SELECT source, {DAY}, record_count FROM volume_trend")
 add("top20_keywords", lambda s, d: analytics.top20_keywords(marts.top_keywords(i.corpus(s, d))),
     "SELECT * FROM top_keywords ORDER BY frequency DESC, word, source LIMIT 20")
@@ -566,7 +571,7 @@ add("top10_per_sentiment", lambda s, d: analytics.top10_per_sentiment(marts.keyw
 add("share_by_source", lambda s, d: analytics.share_by_source(_dist(s, d)),
     """SELECT source, sentiment, count, round_even(100.0 * count / sum(count) OVER (PARTITION BY source), 2) AS percentage
         FROM sentiment_dist""")
-add("score_series", lambda s, d: _out(analytics.score_series(marts.score_trend(i.corpus(s, d), "click"))),
+add("score_series", lambda s, d: _out(analytics.score_series(marts.score_trend(i.corpus_facts(s, d), "click"))),
     f"SELECT {DAY}, round(avg_score, 6) AS avg_score FROM score_trend")
 
 # Profiles.
@@ -641,4 +646,4 @@ add("distinct_authors", lambda s, d: analytics.distinct_authors(i.raw_posts(s, d
 add("author_counts", lambda s, d: analytics.author_counts(i.raw_posts(s, d)),
     """SELECT author, count(*) AS articles FROM raw_posts WHERE author IS NOT NULL GROUP BY author
         ORDER BY articles DESC, author LIMIT 10""")
-add("preview", lambda s, d: analytics.preview(marts.top_authors(i.corpus(s, d)), 20), ORACLES["top_authors"])
+add("preview", lambda s, d: analytics.preview(marts.top_authors(i.corpus_facts(s, d)), 20), ORACLES["top_authors"])

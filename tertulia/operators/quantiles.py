@@ -12,7 +12,8 @@ BINS_PER_E_FOLD = 8192
 
 def _bin(value: Column) -> Column:
     """A bin that never decreases as the value grows; about 0.01 % of the value wide."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BINS_PER_E_FOLD)).cast("bigint")
+    magnitude = F.least(F.log1p(F.abs(value)), F.lit(710.0))
+    return (F.signum(value) * F.floor(magnitude * BINS_PER_E_FOLD)).cast("bigint")
 
 
 def _position(total: Column, p: float, rule: str) -> Column:
@@ -45,7 +46,7 @@ def exact_quantiles(
     keys = [f"_k{i}" for i in range(len(by))] or ["_k0"]
     group = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
     counts = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .select(*group, F.col(value).cast("double").alias("_v"))
         # The join below implies this filter; stated here, both branches share one shuffle.
         .where(_bin(F.col("_v")).isNotNull())

@@ -70,8 +70,7 @@ def write_marts(
     out = {}
     for name, mart in build_marts(scored, daily, word_counts, score_source).items():
         out[name] = f"{path}/storytelling_{name}"
-        # Marts hold at most a row per source and day, or a top-k list.
-        write_snapshot(marts.published(mart).coalesce(1), out[name], run_ts)
+        write_snapshot(marts.published(mart), out[name], run_ts)
     return out
 
 

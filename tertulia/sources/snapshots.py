@@ -73,8 +73,14 @@ def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, files: DataFrame, schema: StructType | None = None) -> DataFrame:
-    """Read the files of a chosen run. Only their paths, one run's worth, reach the driver."""
-    paths = [r.path for r in files.select("path").collect()]
+    """Read the files of a chosen run.
+
+    A run folder is read by its own path, however many files it holds, so the driver
+    receives a path per run folder or flat snapshot file only.
+    """
+    folder = F.regexp_extract("path", rf"^(.*/{RUN_TS}=[^/]+)/", 1)
+    roots = files.select(F.coalesce(F.nullif(folder, F.lit("")), "path").alias("root")).distinct()
+    paths = [r.root for r in roots.collect()]
     if not paths:
         if schema is None:
             raise FileNotFoundError("no snapshot and no schema for an empty table")

@@ -1,0 +1,16 @@
+"""Parallelism for small inputs with heavy rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Repartition a table scan that has fewer splits than the cluster has cores.
+
+    Cleaning and parsing text is bound by processor time, and a table of one or two row
+    groups would keep most cores idle. A scan with fewer splits than cores is small by
+    that very fact; a large one is returned as it is, with no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
