@@ -50,8 +50,7 @@ def read_raw_records(spark: SparkSession, folder: str, glob: str, lines: bool =
     An array file is one pull of at most some dozen records and is held in one row;
     large data is kept as lines, where a row is a record.
     """
-    text = spark.read.option("wholetext", not lines).option("pathGlobFilter", glob).option(
-        "recursiveFileLookup", True).text(folder)
+    text = spark.read.text(folder, wholetext=not lines, pathGlobFilter=glob, recursiveFileLookup=True)
     file = F.col("_metadata.file_name").alias("source_file")
     if lines:
         return text.select(file, F.from_json("value", "map<string,string>").alias("record"))
@@ -60,8 +59,8 @@ def read_raw_records(spark: SparkSession, folder: str, glob: str, lines: bool =
 
 def read_raw_pages(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """One row per landed API page: `source_file`, `value`."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", glob).option(
-        "recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_name").alias("source_file"), "value")
+    text = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    return text.select(F.col("_metadata.file_name").alias("source_file"), "value")
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -1,0 +1,145 @@
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tertulia.operators import bronze
+from tertulia.operators.dedup import keep_first
+from tertulia.sources import json_batches, snapshots
+from tertulia.sources.shared import shared_folder, written
+from tertulia.sources.spread import spread
+
+
+def land(folder, name, records):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(records if isinstance(records, str) else json.dumps(records, ensure_ascii=False, indent=4), encoding="utf-8")
+
+
+def post(url, score, **more):
+    return {"title": "Título", "text": "línea\ndos", "author": "ana", "date": 1775572994.0, "score": score, "url": url, **more}
+
+
+def test_arrays_in_file_and_record_order(spark, tmp_path):
+    land(tmp_path / "b", "posts_2.json", [post("u1", 9), post("u3", 5)])
+    land(tmp_path / "b", "posts_1.json", [post("u2", 1), post("u1", 2), post("u1", 3, source="forum")])
+    land(tmp_path / "b", "posts_3.json", [])
+    land(tmp_path / "b", "posts_4.json", "")
+    land(tmp_path / "b", "articles_1.json", [post("u9", 0)])
+    df = json_batches.read_json_batches(spark, str(tmp_path / "b"), "posts_*.json", json_batches.POSTS)
+    ordered = df.orderBy("source_file", "pos").collect()
+    assert [(r.source_file, r.url, r.score) for r in ordered] == [
+        ("posts_1.json", "u2", "1"), ("posts_1.json", "u1", "2"), ("posts_1.json", "u1", "3"),
+        ("posts_2.json", "u1", "9"), ("posts_2.json", "u3", "5")]
+    assert (ordered[0].title, ordered[0].text, ordered[0].source, ordered[2].source) == ("Título", "línea\ndos", None, "forum")
+    first = keep_first(df, ["url"], ["source_file", "pos"])
+    assert {r.url: r.score for r in first.collect()} == {"u1": "2", "u2": "1", "u3": "5"}
+
+
+def test_all_empty_batches_give_a_typed_table(spark, tmp_path):
+    land(tmp_path / "b", "posts_1.json", [])
+    df = json_batches.read_json_batches(spark, str(tmp_path / "b"), "posts_*.json", json_batches.POSTS)
+    assert df.isEmpty() and df.columns[:8] == json_batches.POSTS.names
+
+
+def test_order_within_a_split_lines_file(spark, tmp_path):
+    lines = "\n".join(json.dumps(post(f"u{n % 50}", n)) for n in range(3000))
+    land(tmp_path / "b", "posts_1.json", lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1000)
+    try:
+        df = json_batches.read_json_batches(spark, str(tmp_path / "b"), "posts_*.json", json_batches.POSTS, lines=True)
+        assert df.rdd.getNumPartitions() > 4
+        first = keep_first(df, ["url"], ["source_file", "pos"])
+        assert sorted(int(r.score) for r in first.collect()) == list(range(50))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_raw_records_keep_absent_keys_apart(spark, tmp_path):
+    records = [{"title": "a", "author": None}, {"author": "b"}]
+    land(tmp_path / "a", "posts_1.json", records)
+    land(tmp_path / "l", "posts_1.json", "\n".join(map(json.dumps, records)))
+    for folder, lines in (("a", False), ("l", True)):
+        raw = json_batches.read_raw_records(spark, str(tmp_path / folder), "posts_*.json", lines)
+        got = raw.select(bronze.missing_keys("record", ["author", "title"]).alias("m")).collect()
+        assert sorted(r.m for r in got) == [[], ["title"]]
+
+
+def test_raw_pages(spark, tmp_path):
+    land(tmp_path / "p", "forum_1.json", {"data": {"children": [{"data": {"title": "x"}}]}})
+    pages = json_batches.read_raw_pages(spark, str(tmp_path / "p"), "forum_*.json")
+    assert [r.title for r in bronze.flatten_api(pages).collect()] == ["x"]
+
+
+def test_write_json_keeps_accents(spark, tmp_path):
+    json_batches.write_json(spark.createDataFrame([("ñandú",)], "t string"), str(tmp_path / "j"))
+    text = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "j").glob("part-*"))
+    assert text.strip() == '{"t":"ñandú"}'
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = [('a "b", c', "x\ny"), ("", None)]
+    snapshots.write_csv(spark.createDataFrame(rows, "p string, q string"), str(tmp_path / "c"))
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "c"))
+    assert ('a "b", c', "x\ny") in [tuple(r) for r in back.collect()] and back.columns == ["p", "q"]
+
+
+def test_rewriting_a_run_replaces_only_that_run(spark, tmp_path):
+    out = str(tmp_path / "s")
+    snapshots.write_snapshot(spark.range(3), out, "20260101_000000")
+    snapshots.write_snapshot(spark.range(5), out, "20260108_000000")
+    snapshots.write_snapshot(spark.range(4), out, "20260101_000000")
+    assert snapshots.read_snapshots(spark, out).count() == 9
+    latest = snapshots.read_latest_run(spark, out)
+    assert latest.count() == 5 and {r.run_ts for r in latest.collect()} == {"20260108_000000"}
+
+
+def test_newest_by_name_then_by_time(spark, tmp_path):
+    folder = tmp_path / "gold"
+    folder.mkdir()
+
+    def flat(name, n, mtime):
+        spark.range(n).coalesce(1).write.parquet(str(tmp_path / ("w_" + name)))
+        part = next((tmp_path / ("w_" + name)).glob("part-*.parquet"))
+        (folder / name).write_bytes(part.read_bytes())
+        os.utime(folder / name, (mtime, mtime))
+
+    now = time.time()
+    flat("keywords_20260102_000000.parquet", 2, now - 100)
+    flat("keywords_20260101_000000.parquet", 1, now)
+    flat("keywords_sentiment_20260102_000000.parquet", 7, now - 100)
+    flat("plain_old.parquet", 3, now - 500)
+    flat("plain_new.parquet", 4, now - 400)
+    listing = snapshots.snapshot_listing(spark, str(folder))
+    assert listing.count() == 5
+    newest = snapshots.latest_by_name_ts(listing, "keywords")
+    assert [r.name for r in newest.collect()] == ["keywords_20260102_000000.parquet"]
+    assert snapshots.read_files(spark, newest).count() == 2
+    assert [r.name for r in snapshots.latest_by_mtime(listing).collect()] == ["keywords_20260101_000000.parquet"]
+    undated = listing.where("name like 'plain%'")
+    assert [r.name for r in snapshots.latest_by_name_ts(undated).collect()] == ["plain_new.parquet"]
+    schema = StructType([StructField("id", LongType())])
+    assert snapshots.read_files(spark, listing.where("false"), schema).isEmpty()
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_files(spark, listing.where("false"))
+
+
+def test_shared_folder_is_the_one_named_by_the_session(spark):
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(base) and shared_folder(spark, "x") != shared_folder(spark, "x")
+    assert written(spark.range(3), "y").count() == 3
+
+
+def test_spread_only_small_scans(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(10).repartition(6).write.parquet(str(tmp_path / "many"))
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)
+    try:
+        assert spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
+        many = spark.read.parquet(str(tmp_path / "many"))
+        assert spread(many) is many
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
