@@ -192,7 +192,8 @@ def html_fields(html: Column | str, groups: Mapping[str, tuple[Sequence[str], Fi
     schema = ", ".join(
         f"{group}: array<struct<" + ", ".join(f"{name}: array<string>" for name in fields) + ">>"
         for group, (_, fields) in groups.items())
-    return F.pandas_udf(batch, schema)(F.col(html) if isinstance(html, str) else html)
+    # Marked so that no filter inferred for a later explode parses every page a second time.
+    return F.pandas_udf(batch, schema).asNondeterministic()(F.col(html) if isinstance(html, str) else html)
 
 
 # Workers get this small module with the function, so it need not be installed on them.
