@@ -384,15 +384,7 @@ add("micros",
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events")
 
 
-def stage_counts(spark, sf):
-    raw = i.raw_posts(spark, sf)
-    valid = silver_plans.valid_posts(raw)
-    return silver.stage_counts({
-        "raw": raw, "deduplicated": raw.select("url", "title").distinct(), "valid": valid,
-        "kept": silver.iqr_upper_fence(valid)})
-
-
-add("stage_counts", stage_counts, """
+add("stage_counts", lambda s, d: silver_plans.post_stage_counts(i.raw_posts(s, d)), """
     SELECT 'raw' AS stage, count(*) AS rows FROM raw_posts UNION ALL SELECT 'deduplicated', count(*) FROM first_posts
     UNION ALL SELECT 'valid', count(*) FROM valid_posts UNION ALL SELECT 'kept', count(*) FROM kept_posts""")
 

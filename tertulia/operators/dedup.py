@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None
+) -> DataFrame:
     """The first row per key in `order`; null keys form one group.
 
     An aggregate, not a window: each map task sends at most one row per key, so a key
     holding a third of the table costs no more than any other. `order` must be total
-    within a key for the pick to be unique.
+    within a key for the pick to be unique. `copies` names a column for the rows per key.
     """
     rest = [c for c in df.columns if c not in keys]
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not rest:
-        return df.distinct()
+        return df.groupBy(*keys).agg(*counted) if counted else df.distinct()
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(
-        *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
+    return df.groupBy(*keys).agg(first, *counted).select(
+        *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns],
+        *([copies] if copies else []),
     )

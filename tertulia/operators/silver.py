@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_score
@@ -43,11 +44,13 @@ def strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: strip(c) for c in columns})
 
 
+def long_enough(minimums: Mapping[str, int]) -> Column:
+    """True where every listed column is longer than its minimum; null or false otherwise."""
+    return reduce(Column.__and__, [F.length(c) > chars for c, chars in minimums.items()])
+
+
 def min_length_filters(df: DataFrame, minimums: Mapping[str, int]) -> DataFrame:
-    """Keep rows whose every listed column is longer than its minimum; null is dropped."""
-    for column, chars in minimums.items():
-        df = df.where(F.length(column) > chars)
-    return df
+    return df.where(long_enough(minimums))
 
 
 def upper_fence(df: DataFrame, value: str = "score", k: float = 1.5) -> DataFrame:
@@ -79,7 +82,7 @@ def observe_rows(df: DataFrame, observation: Observation) -> DataFrame:
 
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """(stage, rows) for each named stage; counting needs few columns, so each scan is narrow."""
+    """(stage, rows) for each named stage. Counting needs few columns, so each scan is narrow."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
         for name, df in stages.items()

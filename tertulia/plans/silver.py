@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tertulia.functions.dates import to_score
 from tertulia.functions.wordlists import STOPWORDS
 from tertulia.operators import silver
 from tertulia.operators.dedup import keep_first
@@ -31,6 +33,29 @@ def process_posts(
     return silver.select_silver(silver.add_clean(kept, ["title", "text"], stopwords), silver.POST_COLUMNS)
 
 
+def post_stage_counts(
+    raw: DataFrame, keys: Sequence[str] = ("url", "title"), order: Sequence[str] = ("source_file", "pos")
+) -> DataFrame:
+    """(stage, rows) after each cleaning stage of `process_posts`, from one narrow dedupe.
+
+    The dedupe counts the copies it drops, and the later stages are conditions on its
+    rows, so no stage reads the table again. Of the text only the length is shuffled.
+    """
+    narrow = raw.select(*dict.fromkeys([*keys, *order, "url", "title"]), "score", F.length("text").alias("_chars"))
+    first = keep_first(narrow, keys, order, copies="_copies")
+    rows = silver.strip_columns(first.fillna("", ["title"]), ["title"]).withColumn("score", to_score("score"))
+    short = {c: n for c, n in silver.POST_MIN_CHARS.items() if c != "text"}
+    valid = silver.long_enough(short) & (F.coalesce("_chars", F.lit(0)) > silver.POST_MIN_CHARS["text"])
+    # A plain filter would move below the dedupe, and a branch without `_copies` would drop
+    # the count; either way the fence could no longer share the dedupe's shuffle.
+    scores = rows.select(F.when(valid & (F.col("_copies") > 0), F.col("score")).alias("score"))
+    fence = silver.upper_fence(scores).scalar()
+    counts = rows.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw"), F.count(F.lit(1)).alias("deduplicated"),
+        F.count_if(valid).alias("valid"), F.count_if(valid & (F.col("score") <= fence)).alias("kept"))
+    return counts.unpivot([], counts.columns, "stage", "rows")
+
+
 def process_articles(
     raw: DataFrame,
     stopwords: Iterable[str] = STOPWORDS,

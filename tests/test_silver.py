@@ -4,7 +4,7 @@ from pyspark.sql import Observation
 
 from tertulia.operators import silver
 from tertulia.operators.dedup import keep_first
-from tertulia.plans.silver import process_articles, process_posts, valid_posts
+from tertulia.plans.silver import post_stage_counts, process_articles, process_posts, valid_posts
 
 POST = "source_file string, pos long, url string, title string, text string, author string, date string, score string"
 LONG = "un texto largo"
@@ -95,6 +95,11 @@ def test_process_articles(spark):
 def test_counts(spark):
     df = spark.range(10)
     assert {r.stage: r.rows for r in silver.stage_counts({"all": df, "few": df.where("id < 3")}).collect()} == {"all": 10, "few": 3}
+    rows = [("a", n, f"https://{n % 8}", "abcd", LONG if n % 8 else "corto", "x", "0", str(n)) for n in range(16)]
+    raw = posts(spark, *rows, ("a", 99, "https://99", "abcd", LONG, "x", "0", "999"))
+    got = {r.stage: r.rows for r in post_stage_counts(raw).collect()}
+    assert got == {"raw": 17, "deduplicated": 9, "valid": 8, "kept": 7}
+    assert {r.rows for r in post_stage_counts(posts(spark)).collect()} == {0}
     seen = Observation("rows")
     silver.observe_rows(df, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10}
