@@ -15,7 +15,6 @@ from pyspark.sql.types import DateType, FloatType, StructField, StructType, Time
 from catalog import inputs as i
 from tertulia.functions import text as t
 from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_score
-from tertulia.functions.sentiment import with_sentiment
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
 from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
@@ -242,9 +241,10 @@ def _cards(spark, sf):
 def unescaped(c: str) -> str:
     """The references that occur in the driver pages."""
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"),
-                       ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+                       ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·")):
         c = f"replace({c}, '{name}', '{char}')"
-    return c
+    # Headings cut in mid-reference leave `&amp` without its semicolon, which HTML still reads.
+    return f"regexp_replace({c}, '&amp;?', '&', 'g')"
 
 
 LINKS = r"""(SELECT page_id, generate_subscripts(l, 1) - 1 AS item_pos, unnest(l) AS li
@@ -275,12 +275,16 @@ add("extract_detail",
         "body": [("article", "spaced")], "tags": [("*nav a", "text")]}), "body"),
     f"""SELECT p.page_id, md5(array_to_string({PARTS}, ' ')) AS body, coalesce(n.tags, '') AS tags
         FROM pages p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
+# The article as laid out: line breaks around headings and at breaks, a blank line around
+# paragraphs, other tags without effect.
+MARKED = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({BODY}, '[ \\t\\r\\n\\f]+', ' ', 'g'),
+    '</?p>', chr(10) || chr(10), 'g'), '</?h1>|<br>', chr(10), 'g'), '<[^>]*>', '', 'g')"""
+LAID_OUT = f"""trim(replace(regexp_replace(regexp_replace({unescaped(MARKED)},
+    ' ?\\n *\\n[ \\n]*', chr(1), 'g'), ' ?\\n *', chr(10), 'g'), chr(1), chr(10) || chr(10)), {i.WS})"""
 add("selector_fallback",
-    lambda s, d: digest(pages.article_fields(i.text_table(s, d, "pages"), keep=["page_id"], fields=ARTICLE).withColumn(
-        "body", F.regexp_replace("body", r"\s+", " ")), "body"),
+    lambda s, d: digest(pages.article_fields(i.text_table(s, d, "pages"), keep=["page_id"], fields=ARTICLE), "body"),
     f"""SELECT p.page_id, md5(CASE WHEN length(body) > 100 THEN body ELSE '' END) AS body, coalesce(n.tags, '') AS tags
-        FROM (SELECT page_id, trim(regexp_replace({unescaped(f"regexp_replace(regexp_replace({BODY}, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g')")},
-        '\\s+', ' ', 'g')) AS body FROM pages) p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
+        FROM (SELECT page_id, {LAID_OUT} AS body FROM pages) p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
 add("heading_cards",
     lambda s, d: pages.extract_cards(i.text_table(s, d, "pages"), keep=["page_id"], host=HOST).select(
         "page_id", "item_pos", "title", "author", "date", "url", F.md5(F.regexp_replace("excerpt", r"\s+", " ")).alias("excerpt")),
