@@ -92,12 +92,12 @@ def enrich_detail(
     body: str = "contenido",
     tags: str = "etiquetas",
     excerpt: str = "extracto",
-    chars: int = EXCERPT_CHARS,
+    chars: int | None = EXCERPT_CHARS,
 ) -> DataFrame:
     """Attach the article body by link. `detail` holds one row per url.
 
     Detail tags replace listing tags if there are any; an empty excerpt becomes the
-    start of the body.
+    start of the body, or all of it if `chars` is None.
     """
     extra = detail.select(F.col(url), F.col(body).alias("_body"), F.col(tags).alias("_tags"))
     joined = listing.drop(body).join(extra, url, "left")
@@ -106,7 +106,7 @@ def enrich_detail(
     return joined.select(
         *kept,
         first_non_empty("_tags", tags).alias(tags),
-        first_non_empty(F.col(excerpt), F.substring(found, 1, chars)).alias(excerpt),
+        first_non_empty(F.col(excerpt), found if chars is None else F.substring(found, 1, chars)).alias(excerpt),
         found.alias(body),
     )
 

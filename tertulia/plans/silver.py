@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +14,15 @@ from tertulia.operators.dedup import keep_first
 
 
 def valid_posts(
-    raw: DataFrame, keys: Sequence[str] = ("url", "title"), order: Sequence[str] = ("source_file", "pos")
+    raw: DataFrame,
+    keys: Sequence[str] = ("url", "title"),
+    order: Sequence[str] = ("source_file", "pos"),
+    min_chars: Mapping[str, int] = silver.POST_MIN_CHARS,
 ) -> DataFrame:
     """First record per key, typed, filled, stripped and long enough; before the fence."""
     first = keep_first(raw, keys, order)
     filled = silver.fill_defaults(silver.coerce_posts(first), silver.POST_DEFAULTS)
-    return silver.min_length_filters(silver.strip_columns(filled, ["title"]), silver.POST_MIN_CHARS)
+    return silver.min_length_filters(silver.strip_columns(filled, ["title"]), min_chars)
 
 
 def process_posts(
@@ -27,9 +30,10 @@ def process_posts(
     stopwords: Iterable[str] = STOPWORDS,
     keys: Sequence[str] = ("url", "title"),
     order: Sequence[str] = ("source_file", "pos"),
+    min_chars: Mapping[str, int] = silver.POST_MIN_CHARS,
 ) -> DataFrame:
     """Silver posts. Text is cleaned last, on the rows that remain."""
-    kept = silver.iqr_upper_fence(valid_posts(raw, keys, order))
+    kept = silver.iqr_upper_fence(valid_posts(raw, keys, order, min_chars))
     return silver.select_silver(silver.add_clean(kept, ["title", "text"], stopwords), silver.POST_COLUMNS)
 
 
@@ -61,10 +65,11 @@ def process_articles(
     stopwords: Iterable[str] = STOPWORDS,
     keys: Sequence[str] = ("url",),
     order: Sequence[str] = ("source_file", "pos"),
+    min_chars: Mapping[str, int] = silver.ARTICLE_MIN_CHARS,
 ) -> DataFrame:
     """Silver articles; they have no score and so no fence."""
     first = keep_first(raw, keys, order)
     filled = silver.fill_defaults(silver.coerce_articles(first), silver.ARTICLE_DEFAULTS)
-    kept = silver.min_length_filters(silver.strip_columns(filled, ["titulo"]), silver.ARTICLE_MIN_CHARS)
+    kept = silver.min_length_filters(silver.strip_columns(filled, ["titulo"]), min_chars)
     cleaned = silver.add_clean(kept, ["titulo", "contenido", "extracto"], stopwords)
     return silver.select_silver(cleaned, silver.ARTICLE_COLUMNS)
