@@ -1,0 +1,25 @@
+"""Intermediate tables in the folder that driver and executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which a cluster sets; only where it is unset, as in tests, a new one."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written once and read back: later plans start from files, not from its lineage."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
