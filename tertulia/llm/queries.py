@@ -9,6 +9,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    from tertulia.llm.substring import op1
+    return op1(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     from tertulia.llm.near_dup import op3
     return op3(table(spark, sf_dir, "documents"))
@@ -19,5 +24,5 @@ def op7_benchmark_decontamination(spark, sf_dir):
     return op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup, op7_benchmark_decontamination,)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op7_benchmark_decontamination,)}
 ORACLES: dict[str, str] = {}
