@@ -19,10 +19,25 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return op3(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark, sf_dir):
+    from tertulia.llm.line_dedup import op4
+    return op4(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark, sf_dir):
+    from tertulia.llm.quality import op6
+    return op6(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark, sf_dir):
     from tertulia.llm.decontaminate import op7
     return op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op7_benchmark_decontamination,)}
+def op9_mixing(spark, sf_dir):
+    from tertulia.llm.mixing import op9
+    return op9(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op4_line_dedup, op6_quality_rules, op7_benchmark_decontamination, op9_mixing,)}
 ORACLES: dict[str, str] = {}
