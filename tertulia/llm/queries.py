@@ -1,43 +1,38 @@
-"""The operators over their whole tables, as registered queries."""
+"""The operators over their whole tables, as registered queries beside their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tertulia.llm import chat, decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, substring, toxicity
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op1_substring_dedup(spark, sf_dir):
-    from tertulia.llm.substring import op1
-    return op1(table(spark, sf_dir, "documents"))
-
-
-def op3_minhash_near_dedup(spark, sf_dir):
-    from tertulia.llm.near_dup import op3
-    return op3(table(spark, sf_dir, "documents"))
-
-
-def op4_line_dedup(spark, sf_dir):
-    from tertulia.llm.line_dedup import op4
-    return op4(table(spark, sf_dir, "documents"))
-
-
-def op6_quality_rules(spark, sf_dir):
-    from tertulia.llm.quality import op6
-    return op6(table(spark, sf_dir, "documents"))
-
-
-def op7_benchmark_decontamination(spark, sf_dir):
-    from tertulia.llm.decontaminate import op7
-    return op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-
-
-def op9_mixing(spark, sf_dir):
-    from tertulia.llm.mixing import op9
-    return op9(table(spark, sf_dir, "documents"))
-
-
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_minhash_near_dedup, op4_line_dedup, op6_quality_rules, op7_benchmark_decontamination, op9_mixing,)}
-ORACLES: dict[str, str] = {}
+def over(op, *names: str):
+    """The query that applies an operator to whole tables."""
+    return lambda spark, sf_dir: op(*(table(spark, sf_dir, n) for n in names))
+
+
+QUERIES = {
+    "op1_substring_dedup": over(substring.op1, "documents"),
+    "op2_chat_formatting": over(chat.op2, "conversations"),
+    "op3_minhash_near_dedup": over(near_dup.op3, "documents"),
+    "op4_line_dedup": over(line_dedup.op4, "documents"),
+    "op5_toxicity": over(toxicity.op5, "documents", "labels"),
+    "op6_quality_rules": over(quality.op6, "documents"),
+    "op7_benchmark_decontamination": over(decontaminate.op7, "documents", "benchmark"),
+    "op8_license_scans": over(licenses.op8, "documents"),
+    "op9_mixing": over(mixing.op9, "documents"),
+    "op10_html_extraction": over(html_text.op10, "pages"),
+}
+
+ORACLES = {
+    "op2_chat_formatting": chat.oracle(),
+    "op4_line_dedup": line_dedup.oracle(),
+    "op6_quality_rules": quality.oracle(),
+    "op8_license_scans": licenses.oracle(),
+    "op9_mixing": mixing.oracle(),
+}
