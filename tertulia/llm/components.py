@@ -20,8 +20,7 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     with any number of links costs each task one row; the number of rounds grows with the
     logarithm of the longest chain. Links of an id with itself or with null are ignored.
     """
-    edges = written(
-        links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), name)
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct()
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

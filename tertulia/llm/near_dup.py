@@ -12,9 +12,11 @@ Buckets are never expanded into pairs. Texts of equal sets are one class first.
 of a bucket are compared, on their full sets, with its smallest set c alone. If f falls short
 of the threshold with c and p is no smaller than c, then f and p can only be similar if they
 share shingles outside c: without any, their intersection is at most that of f and c, and
-their union no smaller. So whatever is still unconnected is dealt into new buckets by shingles outside
-c (a prefix of them, as many as the missing overlap leaves open) and the step repeats. That
-finds every component, in work that follows the number of members, not of pairs.
+their union no smaller. So the members of a bucket that is still unconnected are dealt into
+new buckets by shingles outside c (the rarest of them, as many as the missing overlap leaves
+open) and the step repeats; a bucket of at most `SMALL` members is settled at once, each
+member against those of other components. That finds every component, in work that follows
+the number of members, not of pairs.
 
 Null and empty texts have the empty set and are linked with nothing; so are rows of a null
 doc_id, whose component is null and which are kept. A text of fewer than five words is one
@@ -24,11 +26,12 @@ to the smallest doc_id. An empty table gives an empty result. Other columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tertulia.llm.components import components
@@ -39,6 +42,9 @@ SHINGLE = 5
 SYMBOLS = 48
 CHUNK = 4
 PERCENT = 75
+#: What is left around a center, up to so many members and shingles, is compared within one task.
+SMALL = 3000
+SMALL_SHINGLES = 1_000_000
 
 _rng = np.random.default_rng(20240607)
 _XOR = _rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
@@ -159,7 +165,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, schema: str, row) -> DataFrame:
                 ["rep", "center", *names])
 
     names = [c.split()[0] for c in schema.split(", ")]
-    types = [{"boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}[c.split()[1]] for c in schema.split(", ")]
+    types = [{"boolean": pa.bool_(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}[c.split()[1]] for c in schema.split(", ")]
     return pairs.join(one, "rep").join(other, "center").select("rep", "center", "mine", "theirs").mapInArrow(
         compare, f"rep long, center long, {schema}")
 
@@ -174,21 +180,40 @@ def _overlap(mine: np.ndarray, theirs: np.ndarray) -> int:
     return int((theirs[at] == mine).sum())
 
 
-def linked(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tuple[bool]:
+def linked(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tuple[bool, int]:
     both = _overlap(mine, theirs)
-    return (100 * both >= percent * (len(mine) + len(theirs) - both),)
+    return 100 * both >= percent * (len(mine) + len(theirs) - both), len(mine)
 
 
-def beyond(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tuple[list[int]]:
-    """Shingles outside the center of which a similar partner must share one, at least.
+def beyond(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tuple[int, list[int], int]:
+    """Size, shingles outside the center, and how many of them, in any fixed order, must hold one
+    that a similar partner shares.
 
-    A partner p no smaller than the center needs an overlap of percent / (100 + percent) of
-    both sizes; what the center doesn't give must come from outside it.
+    A similar partner has an overlap of percent of this set, and, as it is no smaller than
+    the center, of percent / (100 + percent) of both sizes; what the center doesn't give must
+    come from outside it.
     """
     outside = np.setdiff1d(mine, theirs, assume_unique=True)
     total = len(mine) + len(theirs)
-    needed = -(-percent * total // (100 + percent)) - (len(mine) - len(outside))
-    return (outside[: max(0, len(outside) - max(needed, 1) + 1)].view(np.int64).tolist(),)
+    overlap = max(-(-percent * total // (100 + percent)), -(-percent * len(mine) // 100))
+    needed = overlap - (len(mine) - len(outside))
+    return len(mine), outside.view(np.int64).tolist(), len(outside) - max(needed, 1) + 1
+
+
+def _dealt(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, rep and size: members of one center that share a shingle outside it, the rarest
+    first, and are of a size that lets them be similar."""
+    outside = written(_compared(large, sets, "size int, outside array<long>, leading int", beyond).select(
+        "center", "rep", "size", "leading", F.explode("outside").alias("shingle")), "outside")
+    counts = outside.groupBy("center", "shingle").agg(F.count("*").alias("n"))
+    rarest = Window.partitionBy("center", "rep").orderBy("n", "shingle")
+    # Steps of the threshold: similar sets are of the same or of neighbouring steps.
+    step = F.floor(F.log("size") / -math.log(PERCENT / 100))
+    return (
+        outside.join(counts, ["center", "shingle"]).withColumn("place", F.row_number().over(rarest))
+        .where("place <= leading AND n > 1")
+        .select(F.explode(F.array(step, step + 1)).alias("step"), "center", "shingle", "rep", "size")
+        .select(F.xxhash64("center", "shingle", "step").alias("key"), "rep", "size").distinct())
 
 
 def _unsettled(buckets: DataFrame, label: DataFrame, by: str) -> DataFrame:
@@ -199,6 +224,64 @@ def _unsettled(buckets: DataFrame, label: DataFrame, by: str) -> DataFrame:
     return buckets.join(open_, by, "left_semi")
 
 
+def _alike(sets: list[np.ndarray], root: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs over the threshold of different roots: all intersections of some rows at a time,
+    as products of 0-1 columns of the shingles that two sets or more hold."""
+    n = np.array([len(s) for s in sets])
+    h = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(h, kind="stable")
+    h, owner = h[order], owner[order]
+    group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
+    twice = np.bincount(group) > 1
+    column = (np.cumsum(twice) - 1)[group]
+    keep = twice[group]
+    owner, column = owner[keep], column[keep]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(twice.sum()), 2048):
+        a, b = np.searchsorted(column, [low, low + 2048])
+        held = np.zeros((len(sets), 2048), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        both += held @ held.T
+    for i in range(1, len(sets)):
+        row = both[i, :i].astype(np.int64)
+        for j in np.flatnonzero((100 * row >= PERCENT * (n[i] + n[:i] - row)) & (root[:i] != root[i])):
+            yield i, int(j)
+
+
+def _within(left: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
+    """Links (a, b) inside groups of at most `SMALL` members, as many as connect them."""
+    part = F.coalesce("component", "rep").alias("part")
+    members = (
+        left.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", part).join(sets, "rep"))
+
+    def connect(group: pa.Table) -> pa.Table:
+        reps, root = group.column("rep").to_pylist(), group.column("part").to_numpy().copy()
+        shingles = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        found = []
+        for i, j in _alike(shingles, root.copy()):
+            if root[i] != root[j]:
+                found.append((reps[i], reps[j]))
+                root[root == root[j]] = root[i]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return members.groupBy("key").applyInArrow(connect, "a long, b long")
+
+
+def _distinct(buckets: DataFrame) -> DataFrame:
+    """One bucket of those that hold the same members."""
+    names = buckets.groupBy("key").agg(
+        F.count("*").alias("n"), *(F.sum(F.xxhash64("rep", F.lit(k)) % (1 << 40)).alias(f"sum{k}") for k in range(2)))
+    return buckets.join(names.groupBy("n", "sum0", "sum1").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
+def _sized(groups: DataFrame, by: str) -> DataFrame:
+    """The groups of two or more members, with whether one task can compare them all."""
+    counts = groups.groupBy(by).agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).where("n > 1")
+    return groups.join(counts.selectExpr(by, f"n <= {SMALL} AND shingles <= {SMALL_SHINGLES} AS small"), by)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each document row doc_id, n_shingles, class_id (smallest doc_id of an equal set) and
     component_id (smallest doc_id reachable over links)."""
@@ -212,30 +295,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = written(_shared(bucket_keys(classes)), "buckets")
     sets = written(_sets(docs, buckets.select("rep").distinct()), "sets")
     label = spark.createDataFrame([], "id long, component long")
-    tested = links = None
+    tested = None
+
+    def joined(new: DataFrame) -> DataFrame:
+        """The components with new links (a, b)."""
+        return components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(new))
+
     while True:
         centers = buckets.groupBy("key").agg(F.min(F.struct("size", "rep"))["rep"].alias("center"))
         pairs = buckets.join(centers, "key").where("rep <> center").select("rep", "center").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["rep", "center"], "left_anti")
-        results = written(_compared(pairs, sets, "linked boolean", linked), "compared")
+        results = written(_compared(pairs, sets, "linked boolean, size int", linked), "compared")
         if results.isEmpty():
             break
         tested = results if tested is None else tested.unionByName(results)
-        new = results.where("linked").select(F.col("rep").alias("a"), F.col("center").alias("b"))
-        links = new if links is None else new.unionByName(label.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        label = components(links)
+        label = joined(results.where("linked").select(F.col("rep").alias("a"), F.col("center").alias("b")))
         # All that was ever compared with a center of this step, where it is not one component.
-        around = tested.join(results.select("center").distinct(), "center", "left_semi").select("rep", "center")
-        crowded = around.groupBy("center").agg(F.count("*").alias("members")).where("members > 1").select("center")
-        left = written(_unsettled(around.join(crowded, "center", "left_semi"), label, "center"), "unsettled")
-        if left.isEmpty():
+        around = tested.join(results.select("center").distinct(), "center", "left_semi").select("rep", "center", "size")
+        left = written(_unsettled(_sized(around, "center"), label, "center"), "unsettled")
+        new = _within(left.where("small").withColumnRenamed("center", "key"), sets, label)
+        large = left.where("NOT small").select("rep", "center")
+        if large.isEmpty():
+            label = joined(new)
             break
-        outside = _compared(left, sets, "outside array<long>", beyond).select(
-            "rep", F.explode("outside").alias("shingle"), "center")
-        dealt = outside.select(F.xxhash64("center", "shingle").alias("key"), "rep").distinct().join(
-            classes.select("rep", "size"), "rep")
-        buckets = written(_unsettled(_shared(written(dealt, "dealt")), label, "key"), "buckets")
+        dealt = written(_dealt(large, sets), "dealt")
+        dealt = written(_sized(_distinct(_unsettled(dealt, label, "key")), "key"), "buckets")
+        label = joined(new.unionByName(_within(dealt.where("small"), sets, label)))
+        buckets = dealt.where("NOT small")
     named = signed.join(classes.select(*name, "rep"), name, "left").select(
         "doc_id", "size", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"))
     return named.join(label, named["class_id"] == label["id"], "left").select(
