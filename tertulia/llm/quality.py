@@ -159,17 +159,24 @@ MEASURES = ["_q_n_words", "_q_word_chars", "_q_symbol", "_q_n_dup_lines", "_q_n_
             "_q_base_failed", "_q_classes", "_q_counts"]
 
 
+def _written_measures(docs: DataFrame, rules: Rules) -> DataFrame:
+    return written(measured(docs.select("doc_id", "lang", "text"), "text", rules).select("doc_id", "lang", *MEASURES), "measures")
+
+
 def with_verdict(docs: DataFrame, rules: Rules = RULES) -> DataFrame:
     """doc_id, lang and all measures and verdicts; texts are read once."""
-    measures = written(measured(docs.select("doc_id", "lang", "text"), "text", rules).select("doc_id", "lang", *MEASURES), "measures")
+    measures = _written_measures(docs, rules)
     return judged(measures, references(measures, "lang", rules), rules)
 
 
 def passing(docs: DataFrame, rules: Rules = RULES) -> DataFrame:
     """The documents, with all their columns, that pass. The measures are taken twice, once for
     the references and once for the verdict, so that no text is shuffled."""
-    known = references(measured(docs.select("lang", "text"), "text", rules), "lang", rules)
-    kept = judged(measured(docs.withColumn("_q_own", F.col("text")), "_q_own", rules), known, rules).where("_q_kept")
+    known = references(_written_measures(docs, rules), "lang", rules)
+    out = judged(measured(docs.withColumn("_q_own", F.col("text")), "_q_own", rules), known, rules)
+    # A filter on plain columns would be pushed below the steps, where every array it names is
+    # built anew for each use; one on a column that may differ by row position stays above.
+    kept = out.withColumn("_q_kept", F.col("_q_kept") & (F.monotonically_increasing_id() >= 0)).where("_q_kept")
     return kept.select(*docs.columns)
 
 
