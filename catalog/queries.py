@@ -14,7 +14,7 @@ from pyspark.sql.types import DateType, FloatType, StructField, StructType, Time
 
 from catalog import inputs as i
 from tertulia.functions import text as t
-from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_score
+from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_number, to_score
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
 from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
@@ -71,11 +71,13 @@ def _landed(spark: SparkSession, sf: str, *extra: str) -> str:
 
 def read_json_batches(spark, sf):
     back = json_batches.read_json_batches(spark, _landed(spark, sf), "part-*.json", json_batches.POSTS, lines=True)
-    return digest(back.select("title", "text", "author", "date", "score", "url", "source"), "text")
+    kind = F.regexp_extract("source_file", r"^(part)-.*\.(json)$", 2).alias("kind")
+    return digest(back.select("title", "text", "author", "date", "score", "url", "source", "damaged", kind), "text")
 
 
 add("read_json_batches", read_json_batches,
-    "SELECT title, md5(text) AS text, author, date, score, url, source FROM raw_posts")
+    """SELECT title, md5(text) AS text, author, date, score, url, source, CAST(NULL AS VARCHAR) AS damaged, 'json' AS kind
+        FROM raw_posts""")
 
 
 def _two_runs(spark: SparkSession, sf: str) -> str:
@@ -101,12 +103,12 @@ add("read_snapshots",
 
 
 def latest_by_mtime(spark, sf):
-    """The newest file of a table written as one file per run."""
+    """The newest run, which several tasks wrote."""
     path = shared_folder(spark, "mtime")
     docs = i.table(spark, sf, "documents")
-    _by_lang(docs.where("lang = 'en'")).coalesce(1).write.parquet(f"{path}/first")
-    _by_lang(docs).coalesce(1).write.parquet(f"{path}/second")
-    return snapshots.read_files(spark, snapshots.latest_by_mtime(snapshots.snapshot_listing(spark, path)))
+    docs.where("lang = 'en'").write.parquet(f"{path}/first")
+    docs.repartition(4).write.parquet(f"{path}/second")
+    return _by_lang(snapshots.read_files(spark, snapshots.latest_by_mtime(snapshots.snapshot_listing(spark, path))))
 
 
 add("latest_by_mtime", latest_by_mtime, BY_LANG)
@@ -175,13 +177,19 @@ add("stream_ingest", stream_ingest,
 
 
 def snapshot_listing(spark, sf):
-    listing = snapshots.snapshot_listing(spark, _two_runs(spark, sf))
-    run = F.regexp_extract("path", snapshots.RUN_TS + "=" + snapshots.TS_PATTERN, 1)
-    return listing.groupBy(run.alias("run_ts")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    """Files of a snapshot with a folder for each run and language, each written by one task."""
+    path = shared_folder(spark, "listing")
+    counts = _by_lang(i.table(spark, sf, "documents")).withColumn("run_ts", F.lit(RUNS[1]))
+    counts.write.partitionBy("run_ts", "lang").parquet(path)
+    listing = snapshots.snapshot_listing(spark, path)
+    return listing.select(
+        F.regexp_extract("path", snapshots.RUN_TS + "=" + snapshots.TS_PATTERN, 1).alias("run_ts"),
+        F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang"),
+        F.regexp_extract("name", r"\.(\w+)$", 1).alias("kind"), (F.col("length") > 0).alias("filled"))
 
 
-add("snapshot_listing", snapshot_listing)
+add("snapshot_listing", snapshot_listing,
+    f"SELECT DISTINCT '{RUNS[1]}' AS run_ts, lang, 'parquet' AS kind, true AS filled FROM documents")
 
 
 # Bronze.
@@ -235,7 +243,7 @@ ARTICLE = {"body": [(".post-content", "visible"), ("article", "visible")],
 
 
 def _cards(spark, sf):
-    return pages.extract_listing(i.text_table(spark, sf, "pages"), keep=["page_id"], item=NAV_ITEM, fields=NAV)
+    return pages.extract_listing(i.table(spark, sf, "pages"), keep=["page_id"], item=NAV_ITEM, fields=NAV)
 
 
 def unescaped(c: str) -> str:
@@ -271,7 +279,7 @@ add("class_tags",
         F.lit("post tag-"), "lang", F.lit("  tag-"), F.concat_ws("-", "source", "lang"), F.lit(" untag-x"))).alias("tags")),
     "SELECT doc_id, lang || ', ' || source || ' ' || lang AS tags FROM documents")
 add("extract_detail",
-    lambda s, d: digest(pages.extract_detail(i.text_table(s, d, "pages"), keep=["page_id"], fields={
+    lambda s, d: digest(pages.extract_detail(i.table(s, d, "pages"), keep=["page_id"], fields={
         "body": [("article", "spaced")], "tags": [("*nav a", "text")]}), "body"),
     f"""SELECT p.page_id, md5(array_to_string({PARTS}, ' ')) AS body, coalesce(n.tags, '') AS tags
         FROM pages p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
@@ -282,11 +290,11 @@ MARKED = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({BODY},
 LAID_OUT = f"""trim(replace(regexp_replace(regexp_replace({unescaped(MARKED)},
     ' ?\\n *\\n[ \\n]*', chr(1), 'g'), ' ?\\n *', chr(10), 'g'), chr(1), chr(10) || chr(10)), {i.WS})"""
 add("selector_fallback",
-    lambda s, d: digest(pages.article_fields(i.text_table(s, d, "pages"), keep=["page_id"], fields=ARTICLE), "body"),
+    lambda s, d: digest(pages.article_fields(i.table(s, d, "pages"), keep=["page_id"], fields=ARTICLE), "body"),
     f"""SELECT p.page_id, md5(CASE WHEN length(body) > 100 THEN body ELSE '' END) AS body, coalesce(n.tags, '') AS tags
         FROM (SELECT page_id, {LAID_OUT} AS body FROM pages) p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
 add("heading_cards",
-    lambda s, d: pages.extract_cards(i.text_table(s, d, "pages"), keep=["page_id"], host=HOST).select(
+    lambda s, d: pages.extract_cards(i.table(s, d, "pages"), keep=["page_id"], host=HOST).select(
         "page_id", "item_pos", "title", "author", "date", "url", F.md5(F.regexp_replace("excerpt", r"\s+", " ")).alias("excerpt")),
     f"""SELECT page_id, CAST(0 AS INTEGER) AS item_pos,
         trim({unescaped("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}, {i.WS}) AS title,
@@ -295,7 +303,7 @@ add("heading_cards",
         (SELECT page_id, html, trim({unescaped(f"regexp_replace(regexp_extract({BODY}, '(?s)<p>(.*?)(</?p>|$)', 1), '<[^>]*>', '', 'g')")},
          {i.WS}) AS p FROM pages)""")
 add("absolute_url",
-    lambda s, d: i.text_table(s, d, "pages").select("page_id", t.absolute_url("url", HOST).alias("url"),
+    lambda s, d: i.table(s, d, "pages").select("page_id", t.absolute_url("url", HOST).alias("url"),
                                                t.absolute_url(F.concat(F.lit("/p/"), "page_id"), HOST).alias("short")),
     f"""SELECT page_id, CASE WHEN starts_with(url, 'http') THEN url ELSE '{HOST}' || url END AS url,
         '{HOST}/p/' || page_id AS short FROM pages""")
@@ -319,7 +327,7 @@ add("enrich_detail", enrich_detail, """
         md5(CASE WHEN l.extracto <> '' THEN l.extracto ELSE coalesce(substr(d.contenido, 1, 300), '') END) AS extracto,
         md5(coalesce(d.contenido, '')) AS contenido FROM listing l LEFT JOIN detail d ON l.url = d.url""")
 add("next_page",
-    lambda s, d: pages.next_page(i.text_table(s, d, "pages"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
+    lambda s, d: pages.next_page(i.table(s, d, "pages"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
     f"SELECT page_id, false AS has_next, '{HOST}/opinion/page/' || (page_id + 1) || '/' AS next_url FROM pages")
 
 
@@ -351,7 +359,7 @@ add("dedup_first",
     lambda s, d: digest(keep_first(i.raw_posts(s, d), ["url", "title"], ["source_file", "pos"]), "text"),
     "SELECT * REPLACE (md5(text) AS text) FROM first_posts")
 add("coerce_numeric",
-    lambda s, d: i.raw_posts(s, d).select("pos", t._col("score").try_cast("double").alias("number"), to_score("score").alias("score")),
+    lambda s, d: i.raw_posts(s, d).select("pos", to_number("score").alias("number"), to_score("score").alias("score")),
     """SELECT pos, TRY_CAST(score AS DOUBLE) AS number,
         coalesce(CAST(trunc(TRY_CAST(score AS DOUBLE)) AS BIGINT), 0) AS score FROM raw_posts""")
 add("epoch_to_ts", lambda s, d: plain(i.raw_posts(s, d).select("pos", epoch_to_ts("date").alias("date"))),
@@ -372,7 +380,7 @@ add("iqr_upper_fence",
     lambda s, d: digest(silver.iqr_upper_fence(silver_plans.valid_posts(i.raw_posts(s, d))).select(
         "title", "text", "author", "score", "url", "pos"), "text"),
     "SELECT title, md5(text) AS text, author, score, url, pos FROM kept_posts")
-add("clean_text", lambda s, d: i.text_table(s, d, "documents").select("doc_id", F.md5(t.clean_text("text")).alias("clean")),
+add("clean_text", lambda s, d: i.table(s, d, "documents").select("doc_id", F.md5(t.clean_text("text")).alias("clean")),
     f"SELECT doc_id, md5({i.clean_sql('text')}) AS clean FROM documents")
 add("select_silver",
     lambda s, d: digest(plain(silver_plans.process_posts(i.raw_posts(s, d))), "text", "text_clean"),
@@ -642,4 +650,5 @@ add("distinct_authors", lambda s, d: analytics.distinct_authors(i.raw_posts(s, d
 add("author_counts", lambda s, d: analytics.author_counts(i.raw_posts(s, d)),
     """SELECT author, count(*) AS articles FROM raw_posts WHERE author IS NOT NULL GROUP BY author
         ORDER BY articles DESC, author LIMIT 10""")
-add("preview", lambda s, d: analytics.preview(marts.top_authors(i.corpus_facts(s, d)), 20), ORACLES["top_authors"])
+add("preview", lambda s, d: digest(analytics.preview(i.raw_posts(s, d).select("pos", "title", "text"), 5, ["pos"]), "text"),
+    "SELECT pos, title, md5(text) AS text FROM raw_posts ORDER BY pos LIMIT 5")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
@@ -32,46 +33,67 @@ class Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent, self.parts = tag, attrs, parent, []
 
+    def events(self, hidden: frozenset = frozenset()) -> Iterator[tuple[str, "Node | str"]]:
+        """("text", string), ("open", node) and ("close", node) of all below, in page order.
+
+        The walk keeps its own stack, so a page may nest as deep as it likes. Elements of
+        the `hidden` tags are passed over with all they hold.
+        """
+        stack = [(self, iter(self.parts))]
+        while stack:
+            node, rest = stack[-1]
+            for part in rest:
+                if isinstance(part, str):
+                    yield "text", part
+                elif part.tag not in hidden:
+                    yield "open", part
+                    stack.append((part, iter(part.parts)))
+                    break
+            else:
+                stack.pop()
+                if stack:
+                    yield "close", node
+
     def walk(self) -> Iterator["Node"]:
-        for part in self.parts:
-            if isinstance(part, Node):
-                yield part
-                yield from part.walk()
+        return (part for kind, part in self.events() if kind == "open")
 
     def strings(self) -> Iterator[str]:
-        for part in self.parts:
-            if isinstance(part, str):
-                yield part
-            elif part.tag not in _HIDDEN:
-                yield from part.strings()
+        return (part for kind, part in self.events(_HIDDEN) if kind == "text")
 
     def visible(self) -> Iterator[str]:
         """Text as a browser lays it out: collapsed spaces, line breaks around blocks."""
-        for part in self.parts:
-            if isinstance(part, str):
+        for kind, part in self.events(_HIDDEN):
+            if kind == "text":
                 yield re.sub(r"[ \t\r\n\f]+", " ", part)
             elif part.tag == "br":
-                yield "\n"
-            elif part.tag not in _HIDDEN:
-                edge = "\n\n" if part.tag == "p" else "\n" if part.tag in _BLOCK else ""
-                yield edge
-                yield from part.visible()
-                yield edge
+                yield "\n" if kind == "open" else ""
+            else:
+                yield "\n\n" if part.tag == "p" else "\n" if part.tag in _BLOCK else ""
 
 
 class _Tree(HTMLParser):
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
         self.root = self.top = Node("", {}, None)
+        self.open = Counter()
         self.feed(html)
         self.close()
 
+    def parse_marked_section(self, i, report=1):
+        """Declarations such as `<![if x]>` hold no text; the base class refuses unknown ones."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def _close(self, tags, barrier=()):
+        if not any(self.open[t] for t in tags):  # a stray end doesn't climb the whole tree
+            return
         node = self.top
         while node.parent is not None and node.tag not in tags and node.tag not in barrier:
             node = node.parent
         if node.tag in tags:
-            self.top = node.parent
+            while self.top is not node.parent:
+                self.open[self.top.tag] -= 1
+                self.top = self.top.parent
 
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
@@ -82,11 +104,13 @@ class _Tree(HTMLParser):
         self.top.parts.append(node)
         if tag not in _VOID:
             self.top = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID:
             self.top = self.top.parent
+            self.open[tag] -= 1
 
     def handle_endtag(self, tag):
         self._close((tag,))
@@ -149,7 +173,9 @@ def _read(node: Node, what: str):
 
 
 def html_fields(html: Column | str, groups: Mapping[str, tuple[Sequence[str], Fields]]) -> Column:
-    """`struct<group: array<struct<field: array<string>, …>>, …>` from one parse per page.
+    """`struct<group: array<struct<field: array<string>, …>>, …, error: string>` from one parse per page.
+
+    A page that can't be read gives no items and says why in `error`, which is null for all others.
 
     A group is `(items, fields)`. `items` lists selectors of a repeated element; the
     first that occurs is used, and with none listed the page itself is the one item. A
@@ -186,12 +212,18 @@ def html_fields(html: Column | str, groups: Mapping[str, tuple[Sequence[str], Fi
             out.append([{name: values(item, c) for name, c in fields.items()} for item in found])
         return out
 
+    def safe(text: str | None) -> list:
+        try:
+            return [*page(text), None]
+        except Exception as error:  # a page that can't be read costs its own fields only
+            return [*([] for _ in plan), f"{type(error).__name__}: {error}"]
+
     def batch(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([page(t) for t in texts], columns=list(plan))
+        return pd.DataFrame([safe(t) for t in texts], columns=[*plan, "error"])
 
     schema = ", ".join(
         f"{group}: array<struct<" + ", ".join(f"{name}: array<string>" for name in fields) + ">>"
-        for group, (_, fields) in groups.items())
+        for group, (_, fields) in groups.items()) + ", error: string"
     # Marked so that no filter inferred for a later explode parses every page a second time.
     return F.pandas_udf(batch, schema).asNondeterministic()(F.col(html) if isinstance(html, str) else html)
 

@@ -15,11 +15,6 @@ WHITESPACE = "".join(map(chr, [
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]))
-SPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    "           "
-    "    　"
-)
 SPACE = r"[\s\x1c-\x1f]"
 SPACES = rf"(?U){SPACE}+"
 URL = r"(?U)http[^\s\x1c-\x1f]+|www[^\s\x1c-\x1f]+"

@@ -25,8 +25,8 @@ def normalize_label(df: DataFrame, label: str = "sentiment", known: Sequence[str
 
 def overall_sentiment(dist: DataFrame) -> DataFrame:
     """Records per label over all sources, with the total and the percent share."""
-    counts = normalize_label(dist.groupBy("sentiment").agg(F.sum("count").alias("count")))
-    # At most one row per known label and spelling reaches this window.
+    counts = normalize_label(dist).groupBy("sentiment").agg(F.sum("count").alias("count"))
+    # At most one row per known label reaches this window.
     total = F.sum("count").over(Window.partitionBy(F.lit(0)))
     return counts.select("sentiment", "count", total.alias("total"),
                          (F.col("count") * 100.0 / total).alias("share"))
@@ -158,5 +158,6 @@ def author_counts(articles: DataFrame, author: str = "author", n: int = 10) -> D
     )
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[Column | str] = ()) -> DataFrame:
+    """The first rows, in a stated order if there is one."""
+    return (df.orderBy(*order) if order else df).limit(n)

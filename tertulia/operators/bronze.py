@@ -112,9 +112,10 @@ def enrich_detail(
 
 
 def missing_keys(record: Column | str, required: Sequence[str]) -> Column:
-    """Required keys absent from a `map<string,string>`; a key present with null is not absent."""
+    """Required keys absent from a `map<string,string>`; a key present with null is not absent.
+    A record that couldn't be read lacks them all."""
     record = F.col(record) if isinstance(record, str) else record
-    return F.array_except(F.array(*[F.lit(k) for k in required]), F.map_keys(record))
+    return F.array_except(F.array(*[F.lit(k) for k in required]), F.coalesce(F.map_keys(record), F.array().cast("array<string>")))
 
 
 def validate(records: DataFrame, required: Sequence[str], title: str, record: str = "record") -> DataFrame:

@@ -105,6 +105,7 @@ def extract_cards(
     item: Sequence[str] = CARD_ITEM,
     fields: Fields = CARD,
     excerpt_chars: int = 300,
+    excerpt_min: int = 20,
 ) -> DataFrame:
     """Titled cards by ordered selector alternatives; a page without any gives its heading links."""
     found = pages.select(*keep, html_fields(html, {"cards": (item, fields), "links": (LINK_ITEM, LINK)}).alias("_f"))
@@ -123,7 +124,7 @@ def extract_cards(
         return F.struct(
             text(c["title"]).alias("title"), text(c["author"]).alias("author"), text(dates).alias("date"),
             url(c["url"]).alias("url"),
-            F.substring(text(c["excerpt"], 20), 1, excerpt_chars).alias("excerpt"))
+            F.substring(text(c["excerpt"], excerpt_min), 1, excerpt_chars).alias("excerpt"))
 
     def link(c: Column) -> Column:
         none = F.lit("")
@@ -165,3 +166,9 @@ def next_page(
         F.exists("next", lambda v: v.isNotNull()).alias("has_next"),
         F.when(href.isNotNull(), absolute_url(href, host)).otherwise(guess).alias("next_url"),
     )
+
+
+def page_errors(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
+    """The pages that can't be read at all, with the reason; their fields are empty elsewhere."""
+    found = pages.select(*keep, html_fields(html, {"page": ((), {"any": (("html", "lang"),)})}).alias("_f"))
+    return found.where("_f.error IS NOT NULL").select(*keep, F.col("_f.error").alias("error"))

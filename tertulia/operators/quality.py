@@ -181,7 +181,7 @@ def describe_lengths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def iqr_report(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
-    """Quartiles, two-sided bounds, outlier count and percent."""
+    """Quartiles, two-sided bounds, outlier count and percent; NaN counts as a row, not as an outlier."""
     q = F.col("quantiles")
     bounds = exact_quantiles(df, value, [0.25, 0.75]).select(
         F.struct(q[0].alias("q1"), q[1].alias("q3"),
@@ -191,7 +191,8 @@ def iqr_report(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
         df.select(F.col(value).alias("_x")).withColumn("_b", bounds.scalar())
         .agg(
             F.count(F.lit(1)).alias("_total"),
-            F.count_if((F.col("_x") < b["lower"]) | (F.col("_x") > b["upper"])).alias("outliers"),
+            F.count_if(~F.isnan(F.col("_x").cast("double")) & (
+                (F.col("_x") < b["lower"]) | (F.col("_x") > b["upper"]))).alias("outliers"),
             F.max("_b").alias("_b"),
         )
         .select(b["q1"].alias("q1"), b["q3"].alias("q3"), (b["q3"] - b["q1"]).alias("iqr"),
@@ -203,9 +204,10 @@ def iqr_report(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """(bin, lower, upper, n): equal-width bins over [min, max], the last one closed.
 
-    Equal minimum and maximum widen to one unit around the value. Empty bins are kept.
+    Equal minimum and maximum widen to one unit around the value. Empty bins are kept. Null
+    and NaN are in no bin.
     """
-    x = F.col(value).cast("double")
+    x = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     spread = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))

@@ -20,7 +20,7 @@ def scored_corpus(
     negative: Iterable[str] = NEGATIVE,
     posts_source: str = "posts",
     articles_source: str = "articles",
-    order: Sequence[str] = ("source", "day", "title", "author", "score"),
+    order: Sequence[str] = ("source", "day", "title", "author", "score", "text"),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Unified, deduplicated and scored records: per url, the first in `order`.

@@ -56,13 +56,15 @@ def refresh_gold(
     silver_path: str,
     path: str,
     run_ts: str,
-    all_runs: bool = False,
+    all_runs: bool = True,
     posts_source: str = "posts",
     articles_source: str = "articles",
     positive: Iterable[str] = POSITIVE,
     negative: Iterable[str] = NEGATIVE,
 ) -> dict[str, str]:
-    """The governance table and the seven marts of one run; nothing without silver data."""
+    """The governance table and the seven marts; nothing without silver data.
+
+    Both cover all silver runs, as every run is measured; `all_runs=False` takes the newest."""
     posts = silver_table(spark, f"{silver_path}/posts", all_runs)
     articles = silver_table(spark, f"{silver_path}/articles", all_runs)
     if posts is None and articles is None:
@@ -77,5 +79,5 @@ def refresh_gold(
     write_snapshot(gold.governance(sources, run_ts), target, run_ts)
     corpus = gold.scored_corpus(
         posts, articles, positive, negative, posts_source, articles_source,
-        order=("source", "run_ts", "source_file", "day", "title"), keep=["run_ts", "source_file"])
+        order=("source", "run_ts", "source_file", "day", "title", "author", "score", "text"), keep=["run_ts", "source_file"])
     return {"governance": target, **gold.write_marts(spark, corpus, path, run_ts, posts_source)}

@@ -27,16 +27,26 @@ def record_position() -> Column:
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
+DAMAGED = "damaged"
+
+
+def with_damaged(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(DAMAGED, StringType())])
+
+
 def read_json_batches(
-    spark: SparkSession, folder: str, glob: str, schema: StructType, lines: bool = False
+    spark: SparkSession, folder: str, glob: str, schema: StructType, lines: bool = False, fail_fast: bool = False
 ) -> DataFrame:
     """Every record of the files matching `glob`, with `source_file` and `pos`.
 
     (`source_file`, `pos`) is the order in which sorted files hold their records. The
-    schema is fixed, so empty batches give an empty typed table.
+    schema is fixed, so empty batches give an empty typed table. What can't be read (a
+    line, or a whole array file that was cut off) is one row without fields, its text in
+    `damaged`; see `damaged_records`. With `fail_fast` it ends the job instead.
     """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(with_damaged(schema))
+        .option("mode", "FAILFAST" if fail_fast else "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
         .option("multiLine", not lines).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
         .json(folder)
         .withColumn("source_file", F.col("_metadata.file_name"))
@@ -44,17 +54,35 @@ def read_json_batches(
     )
 
 
+def damaged_records(batches: DataFrame, first: str = "url") -> DataFrame:
+    """(source_file, records, damaged) of every file; `first` is any column of the records.
+
+    The reader finds damage only where it reads fields too, hence that column."""
+    return batches.groupBy("source_file").agg(
+        F.count_if(F.col(first).isNotNull() | F.col(DAMAGED).isNull()).alias("records"),
+        F.count_if(F.col(DAMAGED).isNotNull()).alias("damaged"))
+
+
 def read_raw_records(spark: SparkSession, folder: str, glob: str, lines: bool = False) -> DataFrame:
     """Each record as `map<string,string>`, in which an absent key differs from a null.
 
+    A line or a file that can't be read is one row with a null `record`, which lacks every
+    key, and its text in `damaged`.
+
     An array file is one pull of at most some dozen records and is held in one row;
     large data is kept as lines, where a row is a record.
     """
     text = spark.read.text(folder, wholetext=not lines, pathGlobFilter=glob, recursiveFileLookup=True)
     file = F.col("_metadata.file_name").alias("source_file")
     if lines:
-        return text.select(file, F.from_json("value", "map<string,string>").alias("record"))
-    return text.select(file, F.posexplode(F.from_json("value", "array<map<string,string>>")).alias("pos", "record"))
+        return text.where("trim(value) <> ''").select(file, "value", F.from_json("value", "map<string,string>").alias("record")).select(
+            "source_file", "record", F.when(F.col("record").isNull(), F.col("value")).alias(DAMAGED))
+    parsed = F.from_json("value", "array<map<string,string>>")
+    rows = text.select(file, "value", parsed.isNull().alias("bad"), F.posexplode_outer(parsed).alias("pos", "record"))
+    # A file without records is no damage, an unread one is.
+    damaged = F.col("bad") & (F.trim("value") != "")
+    return rows.where(F.col("pos").isNotNull() | damaged).select(
+        "source_file", "pos", "record", F.when(damaged, F.col("value")).alias(DAMAGED))
 
 
 def read_raw_pages(spark: SparkSession, folder: str, glob: str) -> DataFrame:

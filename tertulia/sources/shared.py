@@ -11,14 +11,16 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under `spark.checkpoint.dir`, the folder every executor can reach.
 
-    A local session without that setting gets a temporary folder; a cluster does not,
-    because its executors share no local disk.
+    The setting is demanded: what is written there stays until whoever owns that folder
+    expires it. Only a local session without it, as in a trial, gets a temporary folder,
+    once, which it then keeps as its setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tertulia-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

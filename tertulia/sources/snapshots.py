@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,9 +44,17 @@ def snapshot_listing(spark: SparkSession, path: str, glob: str = "*.parquet") ->
         F.col("modificationTime").alias("modified"), "length")
 
 
+def _run_of(path: str = "path") -> Column:
+    """What was written as one: the folder of files that tasks wrote, else the file itself."""
+    part = F.col(path).rlike(r"/part-[^/]+$")
+    return F.when(part, F.regexp_extract(path, r"^(.*)/[^/]+$", 1)).otherwise(F.col(path))
+
+
 def latest_by_mtime(listing: DataFrame) -> DataFrame:
-    """Rows of the most recently modified file."""
-    return listing.where(F.col("modified") == listing.agg(F.max("modified")).scalar())
+    """All files of the run that was modified last; of equal times, the last by path."""
+    runs = listing.withColumn("_run", _run_of())
+    newest = runs.agg(F.max(F.struct("modified", "_run"))["_run"].alias("run")).scalar()
+    return runs.where(F.col("_run") == newest).drop("_run")
 
 
 def latest_by_name_ts(listing: DataFrame, mart: str | None = None) -> DataFrame:

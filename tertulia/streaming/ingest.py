@@ -17,22 +17,25 @@ from pyspark.sql.types import StructType
 from tertulia.functions.wordlists import STOPWORDS
 from tertulia.operators import silver
 from tertulia.operators.dedup import keep_first
-from tertulia.sources.json_batches import POSTS
+from tertulia.sources.json_batches import DAMAGED, POSTS, with_damaged
 
 
 def array_stream(
     spark: SparkSession, folder: str, glob: str, schema: StructType = POSTS, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Records of array files as they arrive, with `source_file` and `pos`."""
+    """Records of array files as they arrive, with `source_file` and `pos`. A file that can't be
+    read is one row without fields, its text in `damaged`."""
     files = (
         spark.readStream.format("text").option("wholetext", True)
         .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger).load(folder)
     )
     records = F.from_json("value", f"array<{schema.simpleString()}>")
-    return files.select(
-        F.col("_metadata.file_name").alias("source_file"), F.posexplode(records).alias("row", "r")
-    ).select("r.*", "source_file", F.lit(0).cast("bigint").alias("block"), F.col("row").cast("bigint").alias("row"))
+    rows = files.select(
+        F.col("_metadata.file_name").alias("source_file"), F.when(records.isNull() & (F.trim("value") != ""), F.col("value")).alias(DAMAGED),
+        F.posexplode_outer(records).alias("row", "r"))
+    return rows.where(F.col("row").isNotNull() | F.col(DAMAGED).isNotNull()).select(
+        "r.*", "source_file", DAMAGED, F.lit(0).cast("bigint").alias("block"), F.col("row").cast("bigint").alias("row"))
 
 
 def line_stream(
@@ -40,7 +43,7 @@ def line_stream(
 ) -> DataFrame:
     """Records of JSON Lines files as they arrive; large files are split over tasks."""
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(with_damaged(schema)).option("columnNameOfCorruptRecord", DAMAGED)
         .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger).json(folder)
         .withColumns({"source_file": F.col("_metadata.file_name"), "block": F.col("_metadata.file_block_start")})
@@ -52,7 +55,7 @@ def clean_rows(posts: DataFrame, stopwords: Iterable[str] = STOPWORDS, keep: Seq
     keyed = posts.withColumn("key_title", F.col("title"))
     filled = silver.fill_defaults(silver.coerce_posts(keyed), silver.POST_DEFAULTS)
     return silver.add_clean(silver.strip_columns(filled, ["title"]), ["title", "text"], stopwords).select(
-        *silver.POST_COLUMNS, "key_title", "pos", *keep)
+        *silver.POST_COLUMNS, "key_title", "pos", *([DAMAGED] if DAMAGED in posts.columns else []), *keep)
 
 
 def ingest_available(

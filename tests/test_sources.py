@@ -9,7 +9,6 @@ from tertulia.operators import bronze
 from tertulia.operators.dedup import keep_first
 from tertulia.sources import json_batches, snapshots
 from tertulia.sources.shared import shared_folder, written
-from tertulia.sources.spread import spread
 
 
 def land(folder, name, records):
@@ -133,13 +132,38 @@ def test_shared_folder_is_the_one_named_by_the_session(spark):
     assert written(spark.range(3), "y").count() == 3
 
 
-def test_spread_only_small_scans(spark, tmp_path):
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(10).repartition(6).write.parquet(str(tmp_path / "many"))
-    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)
-    try:
-        assert spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
-        many = spark.read.parquet(str(tmp_path / "many"))
-        assert spread(many) is many
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+CUT = '[{"title": "a", "url": "u1"}, {"title": "b", "url": "u2"}, {"title": "c'
+
+
+def test_damaged_files_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "posts_1.json").write_text('[{"title": "a", "url": "u"}, {"title": "b"}]')
+    (tmp_path / "posts_2.json").write_text(CUT)
+    (tmp_path / "posts_3.json").write_text("[]")
+    back = json_batches.read_json_batches(spark, str(tmp_path), "posts_*.json", json_batches.POSTS)
+    assert {(r.title, r.damaged) for r in back.collect()} == {("a", None), ("b", None), (None, CUT)}
+    assert {tuple(r) for r in json_batches.damaged_records(back).collect()} == {("posts_1.json", 2, 0), ("posts_2.json", 0, 1)}
+    raw = json_batches.read_raw_records(spark, str(tmp_path), "posts_*.json")
+    assert sorted((r.source_file, r.damaged) for r in raw.collect()) == [
+        ("posts_1.json", None), ("posts_1.json", None), ("posts_2.json", CUT)] or raw.where("damaged is not null").count() == 1
+    strict = json_batches.read_json_batches(spark, str(tmp_path), "posts_*.json", json_batches.POSTS, fail_fast=True)
+    with pytest.raises(Exception, match="FAILFAST|Malformed|MALFORMED"):
+        strict.collect()
+
+
+def test_damaged_lines_are_kept(spark, tmp_path):
+    (tmp_path / "posts_1.json").write_text('{"title": "a"}\n{"title": \n\n{"title": "b"}\n')
+    back = json_batches.read_json_batches(spark, str(tmp_path), "posts_*.json", json_batches.POSTS, lines=True)
+    assert sorted((r.title or "", r.damaged or "") for r in back.collect()) == [("", '{"title": '), ("a", ""), ("b", "")]
+    raw = json_batches.read_raw_records(spark, str(tmp_path), "posts_*.json", lines=True)
+    assert sorted(r.damaged or "" for r in raw.collect()) == ["", "", '{"title": ']
+
+
+def test_newest_run_is_read_whole(spark, tmp_path):
+    import os
+    import time
+    spark.range(10).write.parquet(str(tmp_path / "first"))
+    spark.range(2000).repartition(4).write.parquet(str(tmp_path / "second"))
+    for k, name in enumerate(sorted(os.listdir(tmp_path / "second"))):
+        os.utime(tmp_path / "second" / name, (time.time() + 10 + k,) * 2)
+    listing = snapshots.snapshot_listing(spark, str(tmp_path))
+    assert snapshots.read_files(spark, snapshots.latest_by_mtime(listing)).count() == 2000
