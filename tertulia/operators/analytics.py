@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tertulia.functions.dates import month_start
 from tertulia.functions.text import strip
 from tertulia.operators.dedup import keep_first
-from tertulia.operators.quantiles import exact_quantiles
 
 LABELS = ("positive", "neutral", "negative")
 
@@ -46,15 +45,19 @@ def polarity_box(trend: DataFrame) -> tuple[DataFrame, DataFrame]:
     Quartiles follow the box plot rule (rank p·n - 1/2). Whiskers reach the furthest
     value within 1.5 IQR of the box; values beyond them are outliers.
     """
-    q = F.col("quantiles")
-    boxes = exact_quantiles(trend, "avg_polarity", [0.25, 0.5, 0.75], by=["source"], rule="hazen").select(
-        F.col("source").alias("_source"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+    days = Window.partitionBy("source")  # a source has a row for each day, so few
+    rank = F.row_number().over(days.orderBy("avg_polarity")) - 1
+    marked = trend.where("avg_polarity is not null").select("source", "day", "avg_polarity").withColumns(
+        {"_rank": rank, "_n": F.count(F.lit(1)).over(days)})
+
+    def quartile(p: float) -> Column:
+        at = F.least(F.greatest(F.col("_n") * F.lit(p) - 0.5, F.lit(0.0)), (F.col("_n") - 1).cast("double"))
+        low, high = (F.max(F.when(F.col("_rank") == r, F.col("avg_polarity"))).over(days) for r in (F.floor(at), F.ceil(at)))
+        return low + (at - F.floor(at)) * (high - low)
+
+    marked = marked.withColumns({"q1": quartile(0.25), "median": quartile(0.5), "q3": quartile(0.75)})
     iqr = F.col("q3") - F.col("q1")
-    marked = (
-        trend.where("avg_polarity is not null").select("source", "day", "avg_polarity")
-        .join(boxes, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-        .withColumn("_inside", F.col("avg_polarity").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr))
-    )
+    marked = marked.withColumn("_inside", F.col("avg_polarity").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr))
     inside = F.when(F.col("_inside"), F.col("avg_polarity"))
     summary = marked.groupBy("source", "q1", "median", "q3").agg(
         F.least(F.min(inside), F.col("q1")).alias("lower_whisker"),

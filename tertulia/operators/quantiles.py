@@ -7,13 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS_PER_E_FOLD = 8192
+#: Bins between a power of two and the next; powers run from -1074 to 1023.
+BINS_PER_DOUBLING = 8192
+LEAST_POWER = -1075
+INFINITE = (1024 - LEAST_POWER) * BINS_PER_DOUBLING
 
 
 def _bin(value: Column) -> Column:
-    """A bin that never decreases as the value grows; about 0.01 % of the value wide."""
-    magnitude = F.least(F.log1p(F.abs(value)), F.lit(710.0))
-    return (F.signum(value) * F.floor(magnitude * BINS_PER_E_FOLD)).cast("bigint")
+    """A bin that never decreases as the value grows, at every magnitude at most 1/8192 of the
+    value wide. A power of two rounded the wrong way by the logarithm gives the same bin."""
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    within = F.floor((size / F.pow(F.lit(2.0), power) - 1) * BINS_PER_DOUBLING)
+    finite = (power - LEAST_POWER) * BINS_PER_DOUBLING + within
+    return F.when(size == 0, F.lit(0)).when(size == float("inf"), F.signum(value) * INFINITE).otherwise(
+        F.signum(value) * finite).cast("bigint")
 
 
 def _position(total: Column, p: float, rule: str) -> Column:
@@ -36,10 +44,10 @@ def exact_quantiles(
 
     Values are first counted per distinct value, so repeats (and a hot group) collapse
     before the shuffle. Counts are then summed over narrow ordered bins: a running total
-    over the bins (some 200,000 per group for values up to 10^9) tells which bins hold
-    the wanted ranks, and only those bins are sorted, each in its own task. The width
-    of a bin decides balance only, never the result. Below 8192 every whole number has
-    a bin of its own.
+    over the bins (some 8,192 for each doubling between the least and the largest value)
+    tells which bins hold the wanted ranks, and only those bins are sorted, each in its own
+    task. The width of a bin decides balance only, never the result. Below 8192 every whole
+    number has a bin of its own.
 
     `rule` is the interpolation: "linear" (rank p·(n-1)) or "hazen" (rank p·n - 1/2).
     """

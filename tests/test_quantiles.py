@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tertulia.operators.quantiles import approx_quantiles, exact_quantiles
 
@@ -48,3 +49,21 @@ def test_unknown_rule(spark):
 def test_approximate_is_near(spark):
     df = spark.range(10001).withColumnRenamed("id", "v")
     assert abs(approx_quantiles(df, "v", [0.5]).first().quantiles[0] - 5000) <= 2
+
+
+def test_bins_are_relative_and_never_decrease(spark):
+    from tertulia.operators.quantiles import _bin
+
+    values = sorted({s * m * 2.0 ** e for s in (-1, 1) for e in (-1074, -1030, -40, -14, -1, 0, 1, 3, 52, 1000, 1022) for m in (1, 1.25, 1.9999999)}
+                    | {k * 1e-6 for k in range(100)} | {0.0, float("inf"), float("-inf"), 7.999999999999999, 8.0})
+    got = [r.b for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", _bin(F.col("v")).alias("b")).orderBy("v").collect()]
+    assert got == sorted(got)
+    small = [b for v, b in zip(values, got) if 0 < v < 1e-4]
+    assert len(set(small)) == len(small)
+
+
+def test_small_and_mixed_magnitudes(spark):
+    values = [k * 1e-7 for k in range(1000)] + [-(10.0 ** k) for k in range(-10, 10)] + [5.0] * 500
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    expected = df.agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("p")).first().p
+    assert exact_quantiles(df, "v", [0.1, 0.5, 0.9]).first().quantiles == pytest.approx(expected)
