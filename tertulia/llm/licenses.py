@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tertulia.llm.scratch import written
 
 IN_WORD = r"0-9A-Za-z\x{80}-\x{10FFFF}"
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 
 # Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}

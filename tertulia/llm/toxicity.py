@@ -72,7 +72,7 @@ class Model:
     weights: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
     #: Of the three figures and one, for a score without training.
-    factors: list[float] = field(default_factory=lambda: [0.2, 0.2, 2.0, -3.0])
+    factors: list[float] = field(default_factory=lambda: [0.5, 0.5, 2.0, -3.0])
     _automaton: object = None
 
     def matches(self, folded: str) -> list[tuple[int, int, str]]:
