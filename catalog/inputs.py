@@ -205,6 +205,18 @@ CTES = {
         FROM corpus_hits""",
     "corpus_words": """SELECT word, sentiment, source FROM
         (SELECT unnest(string_split(text, ' ')) AS word, sentiment, source FROM corpus) WHERE length(word) > 3""",
+    # The gold run: silver tables, one row per url, scored.
+    "run_rows": """SELECT url, title, title_clean || ' ' || text_clean AS text, author, CAST(date AS DATE) AS day, score,
+        'posts' AS source FROM silver_posts UNION ALL
+        SELECT url, titulo, contenido_clean, autor, CAST(fecha AS DATE), 0, 'articles' FROM silver_articles""",
+    "run_first": """SELECT * FROM run_rows QUALIFY row_number() OVER (PARTITION BY url ORDER BY source, day NULLS FIRST,
+        title NULLS FIRST, author NULLS FIRST, score NULLS FIRST, text NULLS FIRST) = 1""",
+    "run_hits": f"SELECT *, {hits_sql('text', POSITIVE)} AS p, {hits_sql('text', NEGATIVE)} AS n FROM run_first",
+    "run": """SELECT *, CASE WHEN p + n = 0 THEN 'neutral' WHEN (p - n) / (p + n) > 0.1 THEN 'positive'
+        WHEN (p - n) / (p + n) < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment,
+        CAST(CASE WHEN p + n = 0 THEN 0 ELSE round_even((p - n) / (p + n), 4) END AS FLOAT) AS polarity FROM run_hits""",
+    "run_words": """SELECT word, sentiment, source FROM
+        (SELECT unnest(string_split(text, ' ')) AS word, sentiment, source FROM run) WHERE length(word) > 3""",
     "sentiment_dist": "SELECT source, sentiment, count(*) AS count FROM corpus GROUP BY ALL",
     "sentiment_trend": """SELECT day, source, avg(polarity) AS avg_polarity, count(*) AS record_count
         FROM corpus GROUP BY day, source""",

@@ -485,6 +485,42 @@ add("sentiment_trend", lambda s, d: _out(marts.sentiment_trend(i.corpus(s, d))),
     f"SELECT {DAY}, source, round(avg_polarity, 6) AS avg_polarity, record_count FROM sentiment_trend")
 add("keywords_sentiment", lambda s, d: marts.keywords_sentiment(i.corpus(s, d)), "SELECT * FROM keywords_sentiment")
 
+
+
+def gold_run(spark, sf):
+    """Silver tables through `write_marts`, and the seven written marts read back."""
+    silver_posts = silver_plans.process_posts(i.raw_posts(spark, sf))
+    silver_articles = silver_plans.process_articles(i.raw_articles(spark, sf))
+    scored = gold.scored_corpus(silver_posts, silver_articles, i.POSITIVE, i.NEGATIVE)
+    paths = gold.write_marts(spark, scored, shared_folder(spark, "gold"), RUNS[0])
+    columns = {
+        "volume": ("NULL", "source", "fecha", "NULL", "record_count"),
+        "keywords": ("word", "source", "NULL", "NULL", "frequency"),
+        "score_trend": ("NULL", "NULL", "fecha", "avg_score", "post_count"),
+        "authors": ("autor", "source", "NULL", "NULL", "article_count"),
+        "sentiment_dist": ("sentiment", "source", "NULL", "NULL", "count"),
+        "sentiment_trend": ("NULL", "source", "fecha", "avg_polarity", "record_count"),
+        "keywords_sentiment": ("concat(word, ' ', sentiment)", "source", "NULL", "NULL", "frequency"),
+    }
+    out = [snapshots.read_latest_run(spark, paths[mart]).selectExpr(
+        f"'{mart}' AS mart", f"cast({name} AS string) AS name", f"cast({source} AS string) AS source",
+        f"cast({day} AS string) AS day", f"round(cast({figure} AS double), 6) AS figure", f"cast({n} AS bigint) AS n")
+        for mart, (name, source, day, figure, n) in columns.items()]
+    return corpus.union_sources(out)
+
+
+add("gold_run", gold_run, """
+    SELECT 'volume' AS mart, CAST(NULL AS VARCHAR) AS name, source, CAST(day AS VARCHAR) AS day, CAST(NULL AS DOUBLE) AS figure, count(*) AS n
+      FROM run GROUP BY source, run.day UNION ALL
+    (SELECT 'keywords', word, source, NULL, NULL, count(*) AS c FROM run_words GROUP BY word, source ORDER BY c DESC, word, source LIMIT 50) UNION ALL
+    SELECT 'score_trend', NULL, NULL, CAST(day AS VARCHAR), round(avg(score), 6), count(*) FROM run WHERE source = 'posts' GROUP BY run.day UNION ALL
+    (SELECT 'authors', author, source, NULL, NULL, count(*) AS c FROM run GROUP BY author, source
+      ORDER BY c DESC, author NULLS LAST, source LIMIT 20) UNION ALL
+    SELECT 'sentiment_dist', sentiment, source, NULL, NULL, count(*) FROM run GROUP BY source, sentiment UNION ALL
+    SELECT 'sentiment_trend', NULL, source, CAST(day AS VARCHAR), round(avg(polarity), 6), count(*) FROM run GROUP BY run.day, source UNION ALL
+    (SELECT 'keywords_sentiment', word || ' ' || sentiment, source, NULL, NULL, count(*) AS c FROM run_words
+      GROUP BY word, sentiment, source ORDER BY c DESC, word, sentiment, source LIMIT 300)""")
+
 # Dashboards.
 
 
