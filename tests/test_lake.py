@@ -36,7 +36,7 @@ def test_two_runs(spark, bronze, tmp_path):
     assert lake.refresh_gold(spark, silver, gold, "20260503_000000") == {}
     for run in ("20260503_000000", "20260504_000000"):
         assert set(lake.refresh_silver(spark, bronze, silver, run)) == {"posts", "articles"}
-        paths = lake.refresh_gold(spark, silver, gold, run, posts_source="forum", articles_source="news")
+        paths = lake.refresh_gold(spark, silver, gold, run, False, "forum", "news")
     table = {r.source: r for r in read_latest_run(spark, paths["governance"]).collect()}
     assert {s: (r.total_records, r.duplicate_rate, r.computed_at) for s, r in table.items()} == {
         "forum": (4, 0.0, "20260504_000000"), "news": (2, 0.0, "20260504_000000")}
@@ -44,8 +44,8 @@ def test_two_runs(spark, bronze, tmp_path):
     assert dist == {("forum", "positive"): 4, ("news", "negative"): 2}
     scores = {str(r.fecha): r.avg_score for r in read_latest_run(spark, paths["score_trend"]).collect()}
     assert scores == {"2026-04-08": 1.0, "2026-04-09": 2.0, "2026-04-10": 3.0, "2026-04-11": 4.0}
-    # All runs together count every record once per run; the corpus still holds each url once.
-    paths = lake.refresh_gold(spark, silver, gold, "20260505_000000", True, "forum", "news")
+    # By default all runs count, every record once per run; the corpus still holds each url once.
+    paths = lake.refresh_gold(spark, silver, gold, "20260505_000000", posts_source="forum", articles_source="news")
     table = {r.source: r for r in read_latest_run(spark, paths["governance"]).collect()}
     assert (table["forum"].total_records, table["forum"].duplicate_rate) == (8, 50.0)
     dist = {(r.source, r.sentiment): r["count"] for r in read_latest_run(spark, paths["sentiment_dist"]).collect()}
