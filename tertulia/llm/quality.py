@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tertulia.llm.scratch import written
+from tertulia.sources.shared import written
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -69,34 +69,38 @@ def measured(rows: DataFrame, text: str = "text", rules: Rules = RULES) -> DataF
     The steps are apart so that each array is built once and then read by the next step.
     """
     width = rules.window
-    w, h = F.col("_q_words"), F.col("_q_sorted")
+    w, h, x = F.col("_q_words"), F.col("_q_hashes"), F.col("_q_sorted")
     known = [F.col(f"_q_{k}") for k in CLASSES]
     return (
         rows.withColumn("_q_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
         .withColumns({
             "_q_words": split_words(F.col("_q_text")),
-            "_q_lines": F.filter(F.split("_q_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+            "_q_lines": F.filter(F.split("_q_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
             "_q_length": F.length("_q_text").cast("long"),
-            **{f"_q_{k}": F.regexp_count("_q_text", F.lit(p)).cast("long") for k, p in CLASSES.items()},
+            # Most characters are of no class; what is left is counted.
+            "_q_rare": F.regexp_replace("_q_text", r"[a-z\x20\x09-\x0D]+", ""),
         })
         .withColumns({
+            **{f"_q_{k}": F.regexp_count("_q_rare", F.lit(p)).cast("long") for k, p in CLASSES.items()},
             "_q_n_words": F.size(w).cast("long"),
             "_q_word_chars": F.length(F.array_join(w, "")).cast("long"),
             "_q_n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
-            "_q_common": F.filter(F.transform(w, lambda x: F.lower(x)), lambda x: x.isin(VOCABULARY)),
-            "_q_runs": F.when(F.size(w) >= width, F.transform(
-                F.sequence(F.lit(0), F.size(w) - width), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(width)))))
-            .otherwise(F.array().cast("array<bigint>")),
+            # The common words with two blanks between them, so that each can be cut out with one on either side.
+            "_q_common": F.concat(F.lit(" "), F.lower(F.array_join(F.filter(w, lambda v: F.lower(v).isin(VOCABULARY)), "  ")), F.lit(" ")),
+            "_q_hashes": F.transform(w, lambda v: F.xxhash64(v)),
         })
+        .withColumn("_q_runs", F.when(F.size(h) >= width, F.transform(
+            F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(width)))))
+            .otherwise(F.array().cast("array<bigint>")))
         # Most texts repeat no window; only the others are sorted.
         .withColumn("_q_sorted", F.when(
             F.size(F.array_distinct("_q_runs")) < F.size("_q_runs"),
-            F.array_sort(F.transform("_q_runs", lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
+            F.array_sort(F.transform("_q_runs", lambda r, i: F.struct(r.alias("h"), i.alias("i")))))
             .otherwise(F.array().cast("array<struct<h: bigint, i: int>>")))
         .withColumn("_q_starts", F.array_sort(F.transform(F.filter(F.transform(
-            h, lambda x, k: F.struct(x["i"].alias("i"), (
-                x["h"].eqNullSafe(F.get(h, k - 1)["h"]) | x["h"].eqNullSafe(F.get(h, k + 1)["h"])).alias("again"))),
-            lambda x: x["again"]), lambda x: x["i"])))
+            x, lambda r, k: F.struct(r["i"].alias("i"), (
+                r["h"].eqNullSafe(F.get(x, k - 1)["h"]) | r["h"].eqNullSafe(F.get(x, k + 1)["h"])).alias("again"))),
+            lambda r: r["again"]), lambda r: r["i"])))
         .withColumn("_q_n_repeat_words", F.aggregate(
             "_q_starts", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
             lambda a, i: F.struct((a["n"] + i + width - F.greatest(a["end"], i)).alias("n"), (i + width).alias("end")),
@@ -105,9 +109,10 @@ def measured(rows: DataFrame, text: str = "text", rules: Rules = RULES) -> DataF
                     | (100 * F.col("_q_n_repeat_words") > rules.most_repeated * F.col("_q_n_words")))
         .withColumn("_q_classes", F.array(
             *known, F.col("_q_length") - F.col("_q_word_chars"), F.col("_q_word_chars") - reduce(Column.__add__, known)))
-        .withColumn("_q_counts", F.array(
-            *((F.size("_q_common") - F.size(F.array_remove("_q_common", v))).cast("long") for v in VOCABULARY),
-            F.col("_q_n_words") - F.size("_q_common")))
+        .withColumn("_q_each", F.array(*(
+            F.expr(f"(octet_length(_q_common) - octet_length(replace(_q_common, ' {v} ', ''))) div {len(v.encode()) + 2}") for v in VOCABULARY)))
+        .withColumn("_q_counts", F.concat("_q_each", F.array(
+            F.col("_q_n_words") - F.aggregate("_q_each", F.lit(0).cast("long"), lambda a, n: a + n))))
     )
 
 
