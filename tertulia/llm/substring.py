@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tertulia.llm.scratch import written
 from tertulia.llm.words import Words, bounded_batches, mix, pieces, spans, split, windows
+from tertulia.sources.shared import written
 
 LENGTH = 50
 SEED = 12
@@ -113,8 +113,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     shared = sources.join(common.select("anchor"), "anchor", "left_semi").groupBy("doc_id").agg(
         F.collect_set("anchor").alias("shared"))
     runs = written(_extensions(_texts(docs), shared, length, seed), "runs")
-    earliest = runs.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    found = runs.join(earliest.select("run", "low"), "run").where("doc_id > low").groupBy("doc_id").agg(
+    # Written, so that the join below has two plain shuffles and a hot run can be split.
+    earliest = written(runs.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+                       .where("low < high").select("run", "low"), "earliest")
+    found = runs.join(earliest, "run").where("doc_id > low").groupBy("doc_id").agg(
         F.collect_set("first").alias("firsts"))
     return written(
         found.select("doc_id", F.lit(False).alias("whole"), "firsts")
