@@ -51,6 +51,8 @@ CHROME_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "popup modal overlay newsletter subscribe subscription share sharing social comment comments reply replies respond disqus "
     "login signup search pagination pager copyright disclaimer toolbar".split())
+CHROME_STARTS = ("comment", "advert", "adsby", "sidebar", "cookie", "breadcrumb", "newsletter", "sitenav", "topnav", "mainnav", "navmenu",
+                 "sitefooter", "pagefooter", "siteheader", "pageheader")
 ARTICLE_NAMES = frozenset("article articlebody maincontent".split())
 
 
@@ -78,7 +80,7 @@ def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
     found = names & CHROME_NAMES
     if in_article:
         found -= {"header"}
-    return hidden or bool(found) or any("role:" + r in names for r in CHROME_ROLES)
+    return hidden or bool(found) or any(n.startswith(CHROME_STARTS) for n in names) or any("role:" + r in names for r in CHROME_ROLES)
 
 
 def lines(page: str) -> list[tuple[str, bool]]:
