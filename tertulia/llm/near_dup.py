@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tertulia.llm.components import components
-from tertulia.llm.scratch import written
 from tertulia.llm.words import SPACED, bounded_batches, mix, pieces, spans, split, windows
+from tertulia.sources.shared import written
 
 SHINGLE = 5
 SYMBOLS = 48
@@ -314,14 +314,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # All that was ever compared with a center of this step, where it is not one component.
         around = tested.join(results.select("center").distinct(), "center", "left_semi").select("rep", "center", "size")
         left = written(_unsettled(_sized(around, "center"), label, "center"), "unsettled")
-        new = _within(left.where("small").withColumnRenamed("center", "key"), sets, label)
+        new = written(_within(left.where("small").withColumnRenamed("center", "key"), sets, label), "within")
         large = left.where("NOT small").select("rep", "center")
         if large.isEmpty():
             label = joined(new)
             break
         dealt = written(_dealt(large, sets), "dealt")
         dealt = written(_sized(_distinct(_unsettled(dealt, label, "key")), "key"), "buckets")
-        label = joined(new.unionByName(_within(dealt.where("small"), sets, label)))
+        label = joined(new.unionByName(written(_within(dealt.where("small"), sets, label), "within")))
         buckets = dealt.where("NOT small")
     named = signed.join(classes.select(*name, "rep"), name, "left").select(
         "doc_id", "size", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"))
