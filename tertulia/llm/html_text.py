@@ -2,11 +2,13 @@
 
 A page is cut into lines at its block tags. Chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, reader comments, told by tag, role, class or id) is stripped like
-scripts, styles and markup comments, and leaves empty lines. Text lengths are summed over
-windows of `WINDOW` lines; main text starts where the sum surges to `SURGE` and ends where it
-dives to nothing, and all lines between are kept. Where the page marks its article (article,
-main, or an element so named), surge and dive are the first and last line of it: a short
-paragraph of an article is text too. Where no sum surges, all text outside chrome is kept.
+scripts, styles and markup comments, and each piece of it, however deep, leaves one empty
+line. On every page text lengths are summed over windows of `WINDOW` lines; main text starts
+where the sum surges to `SURGE` and ends where it dives to nothing, and all lines between are
+kept. Where no sum surges, all text outside chrome is kept. What is found so is then held
+against the page's own mark of its article (article, main, or an element so named): where the
+mark covers more than half of the characters found, the article's lines are the text, with
+its short first and last ones; a mark that covers less, as of teasers, changes nothing.
 
 Character references are decoded, blanks within a block become one, blocks are joined by a
 newline in page order. A null or empty page has the empty text, as has one without any text
@@ -100,6 +102,8 @@ def lines(page: str) -> list[tuple[str, bool]]:
 
     def push(tag: str, is_chrome: bool, is_article: bool) -> None:
         nonlocal chrome, article
+        if is_chrome and not chrome:
+            out.append(("", False))
         stack.append((tag, is_chrome, is_article))
         open_tags[tag] = open_tags.get(tag, 0) + 1
         chrome += is_chrome
@@ -129,9 +133,7 @@ def lines(page: str) -> list[tuple[str, bool]]:
             continue
         tag, ending = m[1].lower(), page.startswith("</", m.start())
         if tag not in INLINE:
-            if chrome:
-                out.append(("", False))
-            else:
+            if not chrome:
                 close()
         if not ending:
             if tag in RAW:
@@ -148,20 +150,27 @@ def lines(page: str) -> list[tuple[str, bool]]:
     return out
 
 
-def between(found: list[tuple[str, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The texts of the lines from surge to dive; those of the article where there is one."""
-    if any(inside and text for text, inside in found):
-        return [text for text, inside in found if inside and text]
+def surging(found: list[tuple[str, bool]], window: int = WINDOW, surge: int = SURGE) -> list[tuple[str, bool]]:
+    """The lines with text from each surge to its dive; all of them where no sum surges."""
     if not found:
         return []
     lengths = np.array([len(text) for text, _ in found])
     sums = np.convolve(lengths, np.ones(window, int))[window - 1:]
     kept, surged = [], False
-    for (text, _), total in zip(found, sums.tolist()):
+    for line, total in zip(found, sums.tolist()):
         surged = total >= surge or surged and total > 0
-        if surged and text:
-            kept.append(text)
-    return kept or [text for text, _ in found if text]
+        if surged and line[0]:
+            kept.append(line)
+    return kept or [line for line in found if line[0]]
+
+
+def between(found: list[tuple[str, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+    """The texts of the lines from surge to dive, or of the article that holds most of them."""
+    kept = surging(found, window, surge)
+    marked = sum(len(text) for text, inside in kept if inside)
+    if 2 * marked > sum(len(text) for text, _ in kept):
+        return [text for text, inside in found if inside and text]
+    return [text for text, _ in kept]
 
 
 def main_text(page: str) -> str:

@@ -273,3 +273,14 @@ def test_html(spark):
     assert got[2].text == got[3].text == "" and got[3].n_chars == 0
     assert got[4].text == f"Hi\nT\n{long.strip()}\nOk."
     assert got[5].text == "deep" and got[6].text == "a < b" and got[8].n_chars == 999_999
+
+
+def test_html_windows_decide_on_every_page():
+    long = "A sentence of the story that goes on for a while. " * 4
+    teaser = f"<article><p>Teaser of another story.</p></article><div><p>{long}</p><p>Ok.</p></div>"
+    assert html_text.main_text(teaser) == f"Teaser of another story.\n{long.strip()}\nOk."
+    advert = f"<div><p>{long}</p><div class='ad'><div><div>Buy<p>now</div></div></div><p>Short.</p></div>"
+    assert html_text.main_text(advert) == f"{long.strip()}\nShort."
+    ended = f"<div>{long}</div><div class='ad'>x</div><div class='related'>y</div><div class='footer'>z</div><div>Top</div>"
+    assert html_text.main_text(ended) == long.strip()
+    assert html_text.main_text(f"<div>By us</div><article><h1>T</h1><p>Hm.</p><p>So.</p><p>{long}</p></article>") == f"T\nHm.\nSo.\n{long.strip()}"
