@@ -284,3 +284,23 @@ def test_html_windows_decide_on_every_page():
     ended = f"<div>{long}</div><div class='ad'>x</div><div class='related'>y</div><div class='footer'>z</div><div>Top</div>"
     assert html_text.main_text(ended) == long.strip()
     assert html_text.main_text(f"<div>By us</div><article><h1>T</h1><p>Hm.</p><p>So.</p><p>{long}</p></article>") == f"T\nHm.\nSo.\n{long.strip()}"
+
+
+def test_html_keeps_pages_that_leave_out_tags_or_name_states():
+    text, long = html_text.main_text, "A sentence of the story that goes on for a while. " * 4
+    story = f"<p>{long}</p><p>Ok.</p>"
+    expected = f"{long.strip()}\nOk."
+    assert text(f"<head><title>x</title><body>{story}") == expected
+    assert text(f"<head><title>x<body>{story}") == expected
+    for tag in ("noscript", "svg", "select", "iframe", "template"):
+        assert text(f"<body><{tag}>{story}") == expected, tag
+        assert text(f"<body><{tag}>{story}<{tag}></{tag}>") == expected, tag
+    assert text(f"<body>{story}<noscript><p>Turn it on</p></noscript><script>var t='<p>x';</script>") == expected
+    for name in ("post no-sidebar", "content has-sidebar", "comments-open", "search-result", "sidebar"):
+        assert text(f"<article class='{name}'>{story}</article>") == expected, name
+        assert text(f"<div class='{name}'>{story}</div>") == expected, name
+        assert text(f"<div class='{name}'><main>{story}</main></div>") == expected, name
+    comments = "<div id='comments'><article><p>Nice, and a comment that is long enough to surge by itself, as some are, on many pages.</p></article></div>"
+    assert text(f"<div>{story}</div>{comments}") == text(f"<article>{story}</article>{comments}") == expected
+    assert text("<article><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == "So a=2 holds."
+    assert text("<div class='menu'>Home</div>") == ""
