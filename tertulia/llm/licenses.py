@@ -2,16 +2,18 @@
 
 Two scans over words (runs of ASCII letters, digits and everything beyond ASCII, A-Z in
 lower case). The phrase scan reports every place at which a known phrase stands. The template
-scan is an exact set-similarity join of text blocks (the lines of a text) with license
-templates: tokens are ordered by their frequency over all blocks, rarest first; of a template
+scan is an exact set-similarity join of runs of words with license templates: a template of
+n words stands in a text where some run of 2n words, whatever its lines, holds `THRESHOLD` of
+its distinct tokens or more. Texts are cut into overlapping blocks, each half covered by the
+next, so that every run of twice the longest template lies in one. Tokens are ordered by their frequency over all blocks, rarest first; of a template
 of n tokens that must share t with a block, the first n - t + 1 are its prefix, of which any
 such block holds one. Blocks meet templates on prefix tokens; a block with fewer than t
 template tokens (length filter), or with too few left from the matching place on (positional
-filter), is no candidate; the rest are compared in full. The join is exact: every block of a
-containment of `THRESHOLD` or more is found.
+filter), is no candidate; of the rest every run is compared in full. The join is exact: every
+run of a containment of `THRESHOLD` or more is found, and no tokens from farther apart count.
 
 Templates are a fixed parameter of a few hundred tokens, the one thing that is broadcast.
-Texts are read once; what is kept of them are the template tokens of each line.
+Texts are read once; what is kept of them are the template tokens of each block.
 
 A null or empty text has no words, places or labels and scores 0. Rows that repeat a doc_id
 are expected to repeat its text; each gives a row. Rows of a null doc_id share their template
@@ -74,17 +76,32 @@ def _places(words: str, phrase: str) -> Column:
         F.array().cast("array<int>"))
 
 
-def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES) -> DataFrame:
-    """doc_id, n_words, places (label and first word of each phrase), blocks: the distinct
-    template tokens of each line that has any. Texts are read here and nowhere else."""
+def _needed(tokens: list[str], threshold: float) -> int:
+    return math.ceil(threshold * len(set(tokens)) - 1e-9)
+
+
+def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, n_words, places (label and first word of each phrase), blocks: the template
+    tokens, with their places, of each block that has enough of them for any template. Texts
+    are read here and nowhere else."""
     vocabulary = sorted({w for _, t in templates for w in t.split()})
+    half = 2 * max(len(t.split()) for _, t in templates)
+    least = min(_needed(t.split(), threshold) for _, t in templates)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # Only texts that hold a phrase are cut into words as a whole.
+    rows = rows.select("doc_id", "text", _words(F.col("text")).alias("all_words"))
+
+    def block(k: Column) -> Column:
+        run = F.transform(F.slice("all_words", k * half + 1, 2 * half), lambda w, i: F.struct(i.alias("word"), w.alias("token")))
+        return F.filter(run, lambda x: x["token"].isin(vocabulary))
+
+    # Phrases are looked for only in texts that hold one.
     rows = rows.select(
-        "doc_id", F.regexp_count("text", F.lit(f"[{IN_WORD}]+")).cast("long").alias("n_words"),
-        F.when(F.col("text").rlike(_any_phrase(phrases)), _words(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("words"),
-        F.filter(F.transform(F.split(_lower(F.col("text")), "\n"), lambda line: F.array_intersect(
-            F.split(line, f"[^{IN_WORD}]+"), F.lit(vocabulary))), lambda b: F.size(b) > 0).alias("blocks"))
+        "doc_id", F.size("all_words").cast("long").alias("n_words"),
+        F.when(F.col("text").rlike(_any_phrase(phrases)), F.col("all_words")).otherwise(F.array().cast("array<string>")).alias("words"),
+        F.filter(
+            F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("all_words") / half).cast("int") - 2)), block),
+            lambda b: F.size(b) >= least).alias("blocks"))
+
     def labelled(phrase: str, label: str) -> Column:
         return F.transform(_places("words", phrase), lambda i: F.struct(F.lit(label).alias("label"), i.alias("word")))
 
@@ -93,9 +110,10 @@ def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLA
 
 
 def matched(scans: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, label, containment of every block and template at or over the threshold."""
+    """doc_id, label, containment of every block and template with a run at or over the threshold."""
     spark = scans.sparkSession
-    blocks = scans.select("doc_id", F.explode("blocks").alias("block"))
+    blocks = scans.select("doc_id", F.explode("blocks").alias("run"))
+    blocks = blocks.select("doc_id", "run", F.array_distinct(F.col("run")["token"]).alias("block"))
     counts = blocks.select(F.explode("block").alias("token")).groupBy("token").count().collect()  # template tokens only
     seen = {r["token"]: r["count"] for r in counts}
     order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
@@ -103,26 +121,31 @@ def matched(scans: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     index = []
     for number, (label, text) in enumerate(templates):
         tokens = sorted(set(text.split()), key=rank.__getitem__)
-        needed = math.ceil(threshold * len(tokens) - 1e-9)
-        index += [(tokens[k], number, label, tokens, needed, k) for k in range(len(tokens) - needed + 1)]
-    prefixes = spark.createDataFrame(index, "token string, template int, label string, tokens array<string>, needed int, place int")
+        needed = _needed(tokens, threshold)
+        index += [(tokens[k], number, label, tokens, 2 * len(text.split()), needed, k) for k in range(len(tokens) - needed + 1)]
+    prefixes = spark.createDataFrame(index, "token string, template int, label string, tokens array<string>, span int, needed int, place int")
     ranks = F.lit(order)
     # Every block in the global order, then one row for each of its tokens that is in a prefix.
-    sorted_blocks = blocks.where(F.size("block") >= min(r[4] for r in index)).where(
+    sorted_blocks = blocks.where(F.size("block") >= min(r[5] for r in index)).where(
         F.arrays_overlap("block", F.lit(sorted({r[0] for r in index}))))
-    sorted_blocks = sorted_blocks.select("doc_id", F.transform(
+    sorted_blocks = sorted_blocks.select("doc_id", "run", F.transform(
         F.array_sort(F.transform("block", lambda t: F.struct(F.array_position(ranks, t).alias("rank"), t.alias("token")))), lambda x: x["token"]).alias("block"))
-    met = sorted_blocks.select("doc_id", "block", F.posexplode("block").alias("at", "token")).join(F.broadcast(prefixes), "token")
+    met = sorted_blocks.select("doc_id", "run", "block", F.posexplode("block").alias("at", "token")).join(F.broadcast(prefixes), "token")
     met = met.where(
         (F.size("block") >= F.col("needed"))
         & (1 + F.least(F.size("tokens") - F.col("place") - 1, F.size("block") - F.col("at") - 1) + F.least("place", "at") >= F.col("needed")))
-    both = F.size(F.array_intersect("block", "tokens"))
-    return met.where(both >= F.col("needed")).select("doc_id", "label", (both / F.size("tokens")).alias("containment")).distinct()
+    met = met.where(F.size(F.array_intersect("block", "tokens")) >= F.col("needed"))
+    # From each token of the template on, the run of `span` words.
+    met = met.withColumn("run", F.filter("run", lambda x: F.array_contains("tokens", x["token"])))
+    both = F.array_max(F.transform("run", lambda first: F.size(F.array_distinct(F.transform(F.filter(
+        "run", lambda x: (x["word"] >= first["word"]) & (x["word"] < first["word"] + F.col("span"))), lambda x: x["token"])))))
+    return met.select("doc_id", "label", both.alias("both"), "tokens", "needed").where(F.col("both") >= F.col("needed")).select(
+        "doc_id", "label", (F.col("both") / F.size("tokens")).alias("containment")).distinct()
 
 
 def licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, places, matches (label and best containment of each label)."""
-    scans = written(scanned(docs, phrases, templates), "scans")
+    scans = written(scanned(docs, phrases, templates, threshold), "scans")
     best = matched(scans, templates, threshold).groupBy("doc_id", "label").agg(F.max("containment").alias("containment"))
     best = best.groupBy(F.col("doc_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("label", "containment"))).alias("matches"))
     return scans.join(best, scans["doc_id"].eqNullSafe(best["of"]), "left").select(

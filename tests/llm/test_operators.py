@@ -304,3 +304,23 @@ def test_html_keeps_pages_that_leave_out_tags_or_name_states():
     assert text(f"<div>{story}</div>{comments}") == text(f"<article>{story}</article>{comments}") == expected
     assert text("<article><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == "So a=2 holds."
     assert text("<div class='menu'>Home</div>") == ""
+
+
+def test_license_notices_may_wrap_and_long_lines_collect_nothing(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
+           '(the "Software"), to deal\nin the Software without restriction')
+    r, made = random.Random(6), [(1, mit)]
+    gaps = []
+    for k, (label, text) in enumerate(licenses.TEMPLATES):
+        tokens = text.split()
+        for at in (0, 57, 58, 59, 115, 300):  # across the edges of blocks, broken at every third word
+            notice = "".join(w + ("\n" if j % 3 == 2 else " ") for j, w in enumerate(tokens))
+            made.append((1000 * (k + 1) + at, "prose " * at + notice + "prose " * r.randint(0, 200)))
+        made.append((1000 * (k + 1) + 999, " ".join(w + " prose" * 30 for w in tokens)))  # one long line
+        gaps.append(1000 * (k + 1) + 999)
+    got = {x.doc_id: x for x in licenses.licenses(frame(spark, made), phrases={"no such phrase": "x"}).collect()}
+    assert [tuple(m) for m in got[1].matches] == [("mit", 1.0)]
+    for k, (label, _) in enumerate(licenses.TEMPLATES):
+        for at in (0, 57, 58, 59, 115, 300):
+            assert (label, 1.0) in [tuple(m) for m in got[1000 * (k + 1) + at].matches], (label, at)
+    assert all(got[k].matches == [] for k in gaps)
