@@ -8,11 +8,12 @@ the words themselves are compared before a match counts. Nothing is shuffled for
 (document, pattern) pairs of matches meet the items afterwards.
 
 Patterns reach the executors in blocks of about `block` patterns, one block held by the
-driver at a time, so a benchmark of any size is searched whole.
+driver at a time, so a benchmark of any size is searched whole. Every document row has a key
+of its own, written with it where several blocks are searched, by which what they find meets;
+the result is the same for any number of blocks.
 
-Null and empty texts have no words and match nothing. Rows that repeat a doc_id are expected
-to repeat its text; each gives a row. Rows of a null doc_id are searched like any other, and
-share their items.
+Null and empty texts have no words and match nothing. Rows that repeat a doc_id, and rows of
+a null doc_id, are searched like any other; each gives a row, with its own hits and items.
 Items without words are never found; items with equal windows are all reported. Empty tables
 give empty (or all-clean) results. Other columns are not read.
 """
@@ -29,6 +30,9 @@ from pyspark.sql import functions as F
 from tertulia.llm.words import PLAIN, Words, bounded_batches, mix, pieces, split
 from tertulia.sources.shared import written
 
+#: The key of a document row, by which everything meets here in place of doc_id.
+KEY = "_benchmark_row"
+
 #: Words scanned by one lane; all lanes of a piece advance together.
 LANE = 512
 BLOCK = 100_000
@@ -143,13 +147,13 @@ def _matches(docs: DataFrame, patterns: list[str]) -> DataFrame:
                 spans[doc].add((first - int(words.docs[doc]), end - int(words.docs[doc])))
                 names[doc].add(name.decode())
             yield pa.RecordBatch.from_arrays([
-                rows.column("row"), pa.array(words.counts(), pa.int64()),
+                rows.column(KEY), rows.column("doc_id"), pa.array(words.counts(), pa.int64()),
                 pa.array([[{"first": a, "end": b} for a, b in _joined(s)] for s in spans],
                          pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-                pa.array([sorted(s) for s in names], pa.list_(pa.string()))], ["doc_id", "n_words", "hits", "patterns"])
+                pa.array([sorted(s) for s in names], pa.list_(pa.string()))], [KEY, "doc_id", "n_words", "hits", "patterns"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(
-        search, "doc_id long, n_words long, hits array<struct<first: long, end: long>>, patterns array<string>")
+    return docs.select(KEY, "doc_id", "text").mapInArrow(
+        search, f"{KEY} long, doc_id long, n_words long, hits array<struct<first: long, end: long>>, patterns array<string>")
 
 
 def _joined(spans: set) -> list[tuple[int, int]]:
@@ -163,31 +167,42 @@ def _joined(spans: set) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.monotonically_increasing_id())
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = BLOCK) -> DataFrame:
     """Of each document row doc_id, n_words, hits (spans of words, first and end), items
     (the item_ids found, sorted as strings)."""
+    return _hits(_keyed(docs), benchmark, size, block, False).drop(KEY)
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, size: int, block: int, is_written: bool) -> DataFrame:
+    """The same for rows with their key, which keeps its value where the rows are written."""
     bounded_batches(docs.sparkSession)
+    docs = docs.select(KEY, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     windows = item_windows(benchmark, size)
     wanted = windows.select("pattern").distinct()
     count = wanted.count()
     blocks = max(1, -(-count // block))
+    if blocks > 1 and not is_written:
+        docs = written(docs, "rows")
     found = None
     for k in range(blocks):
         part = wanted if blocks == 1 else wanted.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
         each = _matches(docs, [r[0] for r in part.collect()])
         found = each if found is None else found.unionByName(each)
     if blocks > 1:
-        found = found.groupBy("doc_id", "n_words").agg(
+        found = found.groupBy(KEY, "doc_id", "n_words").agg(
             F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("patterns")).alias("patterns"))
         found = found.withColumn("hits", _joined_spans("hits"))
     found = written(found, "matches")  # read twice below, searched once
     items = (
-        found.where(F.size("patterns") > 0).select("doc_id", F.explode("patterns").alias("pattern"))
-        .join(windows, "pattern").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+        found.where(F.size("patterns") > 0).select(F.col(KEY).alias("of"), F.explode("patterns").alias("pattern"))
+        .join(windows, "pattern").groupBy("of").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    items = items.withColumnRenamed("doc_id", "of")
-    return found.join(items, found["doc_id"].eqNullSafe(items["of"]), "left").select(
-        "doc_id", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return found.join(items, found[KEY] == items["of"], "left").select(
+        KEY, "doc_id", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _joined_spans(column: str) -> F.Column:
@@ -205,8 +220,9 @@ def _joined_spans(column: str) -> F.Column:
 
 def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The documents, with all their columns, in which no benchmark window occurs."""
-    hit = benchmark_hits(docs, benchmark, size).where(F.size("hits") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+    keyed = written(_keyed(docs), "keyed")
+    hit = _hits(keyed, benchmark, size, BLOCK, True).where(F.size("hits") > 0).select(F.col(KEY).alias("_hit"))
+    return keyed.join(hit, keyed[KEY] == hit["_hit"], "left_anti").select(*docs.columns)
 
 
 def op7(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -324,3 +324,18 @@ def test_license_notices_may_wrap_and_long_lines_collect_nothing(spark):
         for at in (0, 57, 58, 59, 115, 300):
             assert (label, 1.0) in [tuple(m) for m in got[1000 * (k + 1) + at].matches], (label, at)
     assert all(got[k].matches == [] for k in gaps)
+
+
+def test_benchmark_search_keeps_every_row_in_blocks(spark):
+    """Repeated and null doc_ids of equal length: each row has its own hits, in one block and in many."""
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(30))) for k in range(6)]
+    plain = " ".join(f"own{j}" for j in range(30))
+    made = [(1, items[0][1]), (1, items[0][1]), (None, items[1][1]), (None, items[2][1]), (None, plain), (2, plain), (1, plain), (3, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = sorted((str(d), 30 if t else 0, 30 if t and t != plain else 0, [t[1]] if t and t != plain else []) for d, t in made)
+    for block in (40, 100_000):
+        got = decontaminate.benchmark_hits(frame(spark, made), bench, block=block).collect()
+        assert sorted((str(r.doc_id), r.n_words, sum(h.end - h.first for h in r.hits), r["items"]) for r in got) == expected, block
+    kept = decontaminate.without_hits(frame(spark, made), bench)
+    assert kept.columns == frame(spark, made).columns
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted((str(d), t or "") for d, t in made if t in (None, plain))
