@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = " \t\x0b\f\r"
-RATIO = 0.1
+#: One page in twenty; below 100 pages of a host, `LEAST_PAGES` is the higher bar.
+RATIO = 0.05
 LEAST_PAGES = 5
 
 

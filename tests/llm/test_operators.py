@@ -339,3 +339,12 @@ def test_benchmark_search_keeps_every_row_in_blocks(spark):
     kept = decontaminate.without_hits(frame(spark, made), bench)
     assert kept.columns == frame(spark, made).columns
     assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted((str(d), t or "") for d, t in made if t in (None, plain))
+
+
+def test_line_dedup_is_not_at_the_edge_for_a_line_on_a_tenth_of_the_pages(spark):
+    """By chance one host has it on less than a tenth, the other on more; a rare line stays."""
+    often = {"a": 17, "b": 23}
+    made = [(1000 * (host == "b") + k, "\n".join([f"own {host}{k}"] + ["Read more"] * (k < n) + ["Hm."] * (k >= 194)), host)
+            for host, n in often.items() for k in range(200)]
+    kept = line_dedup.without_boilerplate(spark.createDataFrame(made, "doc_id long, text string, source string")).collect()
+    assert sum("Read more" in r.text for r in kept) == 0 and sum("Hm." in r.text for r in kept) == 12
