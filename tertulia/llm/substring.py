@@ -1,13 +1,13 @@
-"""Passages that repeat across documents, by seed and extend.
+"""Passages that repeat across documents, by seeds and the runs of words around them.
 
 Words are runs of anything but blank and the controls 0x09 to 0x0D, unchanged. Seeds come
 from winnowing: of the runs of `SEED` words inside any `length` words, the one of the least
 hash is the anchor of those words, so equal passages have equal anchors wherever they stand.
-Documents meet on anchors. Around an anchor that two documents share, the text is extended
-to both sides up to `length` words, in every way that keeps this anchor; extensions that
-occur in a smaller doc_id too are repeats, and the union of overlapping ones is a maximal
-repeat. An anchor that millions of documents share costs one row a document, and the
-extensions meet by their hash (64 bits) through an aggregate to the smallest doc_id, never
+Documents meet on anchors. Matches are not extended word by word, which would take pairs:
+around an anchor that two documents share, every run of `length` words that has this anchor is
+hashed; runs that occur in a smaller doc_id too are repeats, and `without_repeats` joins
+overlapping ones to maximal repeats. An anchor that millions of documents share costs one row a document, and the
+runs meet by their hash (64 bits, not confirmed on words) through an aggregate to the smallest doc_id, never
 in pairs. Whole copies are set aside first by a 128-bit name of their word sequence.
 
 Null and empty texts have no words. Rows that repeat a doc_id are expected to repeat its
