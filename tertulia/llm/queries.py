@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tertulia.llm import chat, decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, substring, toxicity
+from tertulia.llm import chat, decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, substring, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,7 @@ QUERIES = {
     "op8_license_scans": over(licenses.op8, "documents"),
     "op9_mixing": over(mixing.op9, "documents"),
     "op10_html_extraction": over(html_text.op10, "pages"),
+    "op12_embedding_whitening": over(whitening.op12, "embeddings"),
 }
 
 ORACLES = {
