@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tertulia.llm import chat, decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, substring, toxicity, whitening
+from tertulia.llm import chat, decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, secrets, spelling, substring, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,9 @@ QUERIES = {
     "op8_license_scans": over(licenses.op8, "documents"),
     "op9_mixing": over(mixing.op9, "documents"),
     "op10_html_extraction": over(html_text.op10, "pages"),
+    "op11_secret_scans": over(secrets.op11, "documents"),
     "op12_embedding_whitening": over(whitening.op12, "embeddings"),
+    "op13_spelling_variants": over(spelling.op13, "documents"),
 }
 
 ORACLES = {
@@ -36,4 +38,6 @@ ORACLES = {
     "op6_quality_rules": quality.oracle(),
     "op8_license_scans": licenses.oracle(),
     "op9_mixing": mixing.oracle(),
+    "op11_secret_scans": secrets.oracle(),
+    "op13_spelling_variants": spelling.oracle(),
 }
