@@ -7,6 +7,7 @@ Dates and times leave as text and averages rounded late, so that both engines co
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,11 @@ from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_number, to_scor
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
 from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
-from tertulia.plans import gold, silver as silver_plans
+from tertulia.plans import gold, incremental, silver as silver_plans
+from tertulia.plans.kinds import ARTICLES, POSTS
 from tertulia.sources import json_batches, snapshots
 from tertulia.sources.shared import shared_folder, written
-from tertulia.streaming import ingest
+from tertulia.streaming import first_rows, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,6 +178,58 @@ add("stream_ingest", stream_ingest,
         {TS.format('date')} AS date, score, url FROM silver_posts""")
 
 
+ORDER = ["pull", "seq"]
+
+
+def _arrivals(spark, sf, kind):
+    """Two arrivals of raw records as JSON Lines, the later one holding many first records, and
+    the kind that reads them; their own order stands in for file names, which Spark chooses."""
+    raw = {"posts": i.raw_posts, "articles": i.raw_articles}[kind.name](spark, sf).withColumnsRenamed({"source_file": "pull", "pos": "seq"})
+    extra = [StructField("pull", raw.schema["pull"].dataType), StructField("seq", raw.schema["seq"].dataType)]
+    folder, late = shared_folder(spark, "arrivals"), F.col("seq") % 3 == 0
+    land = lambda name, some: json_batches.write_json(raw.where(some), f"{folder}/{name}")
+    return folder, replace(kind, schema=StructType([*kind.schema.fields, *extra])), (
+        lambda: land("first", ~late), lambda: land("second", late))
+
+
+def _silver_out(df: DataFrame) -> DataFrame:
+    long = [c for c in ("text", "text_clean", "contenido", "contenido_clean", "extracto", "extracto_clean") if c in df.columns]
+    return digest(plain(df.drop("source_file")), *long)
+
+
+def _stream(spark, sf, kind):
+    """Both arrivals through the stream, whose state keeps the first record of each key."""
+    folder, kind, lands = _arrivals(spark, sf, kind)
+    out, checkpoint = shared_folder(spark, "appended"), shared_folder(spark, "checkpoint")
+    for land in lands:
+        land()
+        stream = ingest.line_stream(spark, folder, "part-*.json", kind.schema)
+        first_rows.ingest_first(stream, kind, out, checkpoint, ORDER).awaitTermination()
+    return _silver_out(first_rows.silver_table(spark, out, kind, ORDER))
+
+
+def _incremental(spark, sf, kind):
+    """Both arrivals taken in by runs that read new files only."""
+    folder, kind, lands = _arrivals(spark, sf, kind)
+    path = shared_folder(spark, "settled")
+    for run, land in zip(RUNS, lands):
+        land()
+        incremental.refresh(spark, folder, "part-*.json", path, run, kind, True, 32, ORDER)
+    return _silver_out(incremental.silver_table(spark, path, kind))
+
+
+SILVER_POSTS = f"""SELECT title, title_clean, md5(text) AS text, md5(text_clean) AS text_clean, author,
+        {TS.format('date')} AS date, score, url FROM silver_posts"""
+SILVER_ARTICLES = f"""SELECT titulo, titulo_clean, autor, {TS.format('fecha')} AS fecha, md5(extracto) AS extracto,
+        md5(extracto_clean) AS extracto_clean, md5(contenido) AS contenido, md5(contenido_clean) AS contenido_clean,
+        etiquetas, url, fuente FROM silver_articles"""
+
+add("stream_posts", lambda s, d: _stream(s, d, POSTS), SILVER_POSTS)
+add("stream_articles", lambda s, d: _stream(s, d, ARTICLES), SILVER_ARTICLES)
+add("incremental_posts", lambda s, d: _incremental(s, d, POSTS), SILVER_POSTS)
+add("incremental_articles", lambda s, d: _incremental(s, d, ARTICLES), SILVER_ARTICLES)
+
+
 def snapshot_listing(spark, sf):
     """Files of a snapshot with a folder for each run and language, each written by one task."""
     path = shared_folder(spark, "listing")
