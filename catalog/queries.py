@@ -431,7 +431,7 @@ add("min_length_filters",
     lambda s, d: digest(silver_plans.valid_posts(i.raw_posts(s, d)).select("title", "text", "author", "score", "url", "pos"), "text"),
     "SELECT title, md5(text) AS text, author, score, url, pos FROM valid_posts")
 add("iqr_upper_fence",
-    lambda s, d: digest(silver.iqr_upper_fence(silver_plans.valid_posts(i.raw_posts(s, d))).select(
+    lambda s, d: digest(silver_plans.fenced_posts(i.raw_posts(s, d)).select(
         "title", "text", "author", "score", "url", "pos"), "text"),
     "SELECT title, md5(text) AS text, author, score, url, pos FROM kept_posts")
 add("clean_text", lambda s, d: i.table(s, d, "documents").select("doc_id", F.md5(t.clean_text("text")).alias("clean")),

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tertulia.operators.quantiles import approx_quantiles, exact_quantiles
+from tertulia.operators.quantiles import _CODED, approx_quantiles, exact_quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -51,15 +51,57 @@ def test_approximate_is_near(spark):
     assert abs(approx_quantiles(df, "v", [0.5]).first().quantiles[0] - 5000) <= 2
 
 
-def test_bins_are_relative_and_never_decrease(spark):
-    from tertulia.operators.quantiles import _bin
-
-    values = sorted({s * m * 2.0 ** e for s in (-1, 1) for e in (-1074, -1030, -40, -14, -1, 0, 1, 3, 52, 1000, 1022) for m in (1, 1.25, 1.9999999)}
-                    | {k * 1e-6 for k in range(100)} | {0.0, float("inf"), float("-inf"), 7.999999999999999, 8.0})
-    got = [r.b for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", _bin(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert got == sorted(got)
-    small = [b for v, b in zip(values, got) if 0 < v < 1e-4]
-    assert len(set(small)) == len(small)
+def test_codes_are_the_bits_of_a_double(spark):
+    values = sorted({s * m * 2.0 ** e for s in (-1, 1) for e in (-1074, -1030, -1022, -40, -14, -1, 0, 1, 3, 52, 1000, 1022, 1023) for m in (1, 1.25, 1.9999999)}
+                    | {k * 1e-6 for k in range(100)} | {0.0, float("inf"), float("-inf"), 7.999999999999999, 8.0, 0.1, 1e308, 5e-324}
+                    | set(np.random.default_rng(7).integers(0, 0x7FE0 << 48, 3000).view(np.float64).tolist()))
+    values += [-v for v in values]
+    coded = spark.sql(f"WITH {', '.join(_CODED)} SELECT _v, _code FROM coded", values=spark.createDataFrame([(v,) for v in values], "_v double"))
+    got = {r._v: r._code for r in coded.collect()}
+    for v, code in got.items():
+        bits = int(np.array(abs(v)).view(np.int64))
+        assert code == (-bits if v < 0 else bits)
+
+
+def test_bins_are_split_until_their_values_are_told_apart(spark):
+    """Thousands of values that share all but their last bits, between others."""
+    base = np.float64(1234.5).view(np.int64)
+    close = (base + np.arange(5000)).view(np.float64)
+    values = [1.0] * 2000 + close.tolist() + [1e9] * 2000
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    got = exact_quantiles(df, "v", PROBS).first().quantiles
+    assert got == pytest.approx(np.quantile(values, PROBS).tolist(), rel=0, abs=1e-12)
+    by = exact_quantiles(df.withColumn("g", F.when(F.col("v") < 2, None).otherwise(F.col("v") > 2000)), "v", [0.5], ["g"])
+    assert {r.g: r.quantiles[0] for r in by.collect()} == {None: 1.0, False: np.quantile(close, 0.5), True: 1e9}
+
+
+def test_no_exchange_holds_values(spark):
+    """A column of different values: what is shuffled are counts of bins, not the column."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(0, 200_000, 1, 4).select((F.col("id") * 0.001 + 100).alias("v"))
+        out = exact_quantiles(df, "v", [0.25, 0.75])
+        assert out.first().quantiles == pytest.approx(np.quantile(np.arange(200_000) * 0.001 + 100, [0.25, 0.75]))
+        plan = out._jdf.queryExecution().executedPlan()
+        sent = []
+
+        def walk(node):
+            if node.nodeName() == "Exchange":
+                sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+            if node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage", "TableCacheQueryStage")):
+                walk(node.plan())
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                walk(node.executedPlan())
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        walk(plan)
+        # Three doublings hold some 1,024 bins each; a bin that is split holds some hundred values.
+        assert sent and max(sent) < 4 * 4096
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_small_and_mixed_magnitudes(spark):

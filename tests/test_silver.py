@@ -4,7 +4,7 @@ from pyspark.sql import Observation
 
 from tertulia.operators import silver
 from tertulia.operators.dedup import keep_first
-from tertulia.plans.silver import post_stage_counts, process_articles, process_posts, valid_posts
+from tertulia.plans.silver import post_stage_counts, process_articles, process_posts, valid_posts, valid_scores
 
 POST = "source_file string, pos long, url string, title string, text string, author string, date string, score string"
 LONG = "un texto largo"
@@ -65,14 +65,43 @@ def test_process_posts(spark):
     assert process_posts(posts(spark)).collect() == []
 
 
-def test_one_dedupe_serves_fence_and_rows(spark, tmp_path):
+def exchanges(df):
+    """What each shuffle of the plan holds."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            found.append(node.schema().simpleString())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+        for k in range(node.subqueries().size()):
+            walk(node.subqueries().apply(k))
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(node.initialPlan())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_the_fence_moves_no_text(spark, tmp_path):
     path = str(tmp_path / "posts")
     posts(spark, ("a", 0, "https://1", "abcd", LONG, "x", "0", "1")).write.parquet(path)
-    out = process_posts(spark.read.parquet(path))
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    raw = spark.read.parquet(path)
+    moved = exchanges(silver.upper_fence(valid_scores(raw)))
+    assert moved and not any("text" in schema for schema in moved)
+    # Whole rows are shuffled once, for the rows that stay.
+    assert sum("text" in schema for schema in exchanges(process_posts(raw))) == 1
+    plan = process_posts(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
+def test_narrow_scores_are_those_of_valid_posts(spark):
+    rows = [(f, n, f"https://{n % 5}" if n % 7 else None, " abcd "[: n % 9], (LONG * 2)[: n % 23] or None, "x", "0", str(n % 4) if n % 3 else "n/a")
+            for f in "ab" for n in range(60)]
+    raw = posts(spark, *rows)
+    for minimums in (silver.POST_MIN_CHARS, {"title": 2}, {"text": 5}):
+        whole = sorted(r.score for r in valid_posts(raw, min_chars=minimums).collect())
+        assert sorted(r.score for r in valid_scores(raw, min_chars=minimums).collect()) == whole and whole
 
 
 def test_process_articles(spark):
