@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, FloatType, StructField, StructType, TimestampNTZType, TimestampType
 
@@ -21,7 +22,7 @@ from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
 from tertulia.plans import gold, incremental, silver as silver_plans
 from tertulia.plans.kinds import ARTICLES, POSTS
-from tertulia.sources import json_batches, snapshots
+from tertulia.sources import json_arrays, json_batches, runs, snapshots
 from tertulia.sources.shared import shared_folder, written
 from tertulia.streaming import first_rows, ingest
 
@@ -82,6 +83,34 @@ add("read_json_batches", read_json_batches,
         FROM raw_posts""")
 
 
+def read_json_arrays(spark, sf):
+    """Raw posts landed as files with one array each, as pulls leave them, and read in blocks."""
+    raw = i.raw_posts(spark, sf).withColumnsRenamed({"source_file": "pull", "pos": "seq"})
+    columns = ["title", "text", "author", "date", "score", "url", "source", "pull", "seq"]
+    folder = shared_folder(spark, "arrays")
+
+    def bracketed(frames):
+        mark = "["
+        for rows in frames:
+            yield rows.assign(value=[(mark if not k and mark else ",") + v for k, v in enumerate(rows["value"])])[["value"]]
+            mark = "" if len(rows) else mark
+        yield pd.DataFrame({"value": ["[]" if mark else "]"]})
+
+    lines = raw.repartition("pull").sortWithinPartitions("pull", "seq").select(F.to_json(F.struct(*columns)).alias("value"))
+    lines.mapInPandas(bracketed, "value string").write.text(folder)
+    schema = StructType([*json_batches.POSTS.fields, raw.schema["pull"], raw.schema["seq"]])
+    back = json_arrays.read_split_arrays(spark, folder, "part-*", schema)
+    in_file, place = Window.partitionBy("source_file").orderBy("pos"), F.struct("pull", "seq")
+    return digest(back.select(
+        *columns, "damaged", F.coalesce(F.lag(place).over(in_file) < place, F.lit(True)).alias("in_order"),
+        (F.min("source_file").over(Window.partitionBy("pull")) == F.col("source_file")).alias("one_file")), "text")
+
+
+add("read_json_arrays", read_json_arrays,
+    """SELECT title, md5(text) AS text, author, date, score, url, source, source_file AS pull, pos AS seq, CAST(NULL AS VARCHAR) AS damaged,
+        true AS in_order, true AS one_file FROM raw_posts""")
+
+
 def _two_runs(spark: SparkSession, sf: str) -> str:
     """Documents as two overlapping snapshots: French and English first, then all."""
     path = shared_folder(spark, "snapshots")
