@@ -120,37 +120,50 @@ def _two_runs(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _by_lang(df: DataFrame) -> DataFrame:
-    return df.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("chars"))
+def _texts(df: DataFrame) -> DataFrame:
+    return digest(df.select("doc_id", "text", "lang", "source", "n_chars"), "text")
 
 
-BY_LANG = "SELECT lang, count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang"
+TEXTS = "SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents"
 
 add("read_snapshots",
-    lambda s, d: snapshots.read_snapshots(s, _two_runs(s, d)).groupBy("run_ts", "lang").agg(
-        F.count(F.lit(1)).alias("rows")),
-    f"""SELECT '{RUNS[0]}' AS run_ts, lang, count(*) AS rows FROM documents WHERE lang IN ('en', 'fr') GROUP BY lang
-        UNION ALL SELECT '{RUNS[1]}', lang, count(*) FROM documents GROUP BY lang""")
+    lambda s, d: digest(snapshots.read_snapshots(s, _two_runs(s, d)).select("run_ts", "doc_id", "text", "lang", "source", "n_chars"), "text"),
+    f"""SELECT '{RUNS[0]}' AS run_ts, * FROM ({TEXTS} WHERE lang IN ('en', 'fr'))
+        UNION ALL SELECT '{RUNS[1]}', * FROM ({TEXTS})""")
 
 
 def latest_by_mtime(spark, sf):
-    """The newest run, which several tasks wrote."""
+    """The newest run, which several tasks wrote into a folder for each language."""
     path = shared_folder(spark, "mtime")
     docs = i.table(spark, sf, "documents")
     docs.where("lang = 'en'").write.parquet(f"{path}/first")
-    docs.repartition(4).write.parquet(f"{path}/second")
-    return _by_lang(snapshots.read_files(spark, snapshots.latest_by_mtime(snapshots.snapshot_listing(spark, path))))
+    docs.repartition(4).write.partitionBy("lang").parquet(f"{path}/second")
+    return _texts(snapshots.read_files(spark, snapshots.latest_by_mtime(snapshots.snapshot_listing(spark, path))))
 
 
-add("latest_by_mtime", latest_by_mtime, BY_LANG)
+add("latest_by_mtime", latest_by_mtime, TEXTS)
 
 
 def latest_by_name_ts(spark, sf):
     newest = snapshots.latest_by_name_ts(snapshots.snapshot_listing(spark, _two_runs(spark, sf)))
-    return _by_lang(snapshots.read_files(spark, newest))
+    return _texts(snapshots.read_files(spark, newest))
 
 
-add("latest_by_name_ts", latest_by_name_ts, BY_LANG)
+add("latest_by_name_ts", latest_by_name_ts, TEXTS)
+
+
+def committed_runs(spark, sf):
+    """Runs with manifests, partitioned by language; one that was never committed is no run."""
+    path = shared_folder(spark, "runs")
+    docs = i.table(spark, sf, "documents")
+    runs.write_run(docs.where(F.col("lang").isin("en", "fr")), path, RUNS[0], "lang")
+    runs.write_run(docs, path, RUNS[1], "lang")
+    docs.where("lang = 'en'").write.parquet(f"{path}/run=20240103_000000")
+    rows = runs.committed(spark, path).where(F.col("run") == RUNS[1]).select("rows").scalar()
+    return _texts(runs.read_newest(spark, path, "run")).withColumn("run_rows", rows)
+
+
+add("committed_runs", committed_runs, f"SELECT *, (SELECT count(*) FROM documents) AS run_rows FROM ({TEXTS})")
 
 
 def write_json(spark, sf):
@@ -162,7 +175,7 @@ def write_json(spark, sf):
 
 add("write_json", write_json, "SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents")
 
-add("write_parquet_snapshot", lambda s, d: _by_lang(snapshots.read_latest_run(s, _two_runs(s, d))), BY_LANG)
+add("write_parquet_snapshot", lambda s, d: _texts(snapshots.read_latest_run(s, _two_runs(s, d))), TEXTS)
 
 
 def write_csv(spark, sf):
@@ -262,7 +275,7 @@ add("incremental_articles", lambda s, d: _incremental(s, d, ARTICLES), SILVER_AR
 def snapshot_listing(spark, sf):
     """Files of a snapshot with a folder for each run and language, each written by one task."""
     path = shared_folder(spark, "listing")
-    counts = _by_lang(i.table(spark, sf, "documents")).withColumn("run_ts", F.lit(RUNS[1]))
+    counts = i.table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).withColumn("run_ts", F.lit(RUNS[1]))
     counts.write.partitionBy("run_ts", "lang").parquet(path)
     listing = snapshots.snapshot_listing(spark, path)
     return listing.select(

@@ -45,9 +45,11 @@ def snapshot_listing(spark: SparkSession, path: str, glob: str = "*.parquet") ->
 
 
 def _run_of(path: str = "path") -> Column:
-    """What was written as one: the folder of files that tasks wrote, else the file itself."""
-    part = F.col(path).rlike(r"/part-[^/]+$")
-    return F.when(part, F.regexp_extract(path, r"^(.*)/[^/]+$", 1)).otherwise(F.col(path))
+    """What was written as one: the folder of a run stamp, else the folder that the partition
+    folders (`column=value`) of files that tasks wrote lie in, else the file itself."""
+    stamped = F.regexp_extract(path, rf"^(.*/{RUN_TS}=[^/]+)/", 1)
+    folder = F.regexp_extract(path, r"^(.*?)(/[^/=]+=[^/]*)*/part-[^/]+$", 1)
+    return F.coalesce(F.nullif(stamped, F.lit("")), F.nullif(folder, F.lit("")), F.col(path))
 
 
 def latest_by_mtime(listing: DataFrame) -> DataFrame:
@@ -83,11 +85,11 @@ def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
 def read_files(spark: SparkSession, files: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Read the files of a chosen run.
 
-    A run folder is read by its own path, however many files it holds, so the driver
-    receives a path per run folder or flat snapshot file only.
+    A run folder is read by its own path, however many files it holds and however they are
+    partitioned, so the driver receives a path per run folder or flat snapshot file only. For
+    runs that may still be written, or were written to twice, see `runs`.
     """
-    folder = F.regexp_extract("path", rf"^(.*/{RUN_TS}=[^/]+)/", 1)
-    roots = files.select(F.coalesce(F.nullif(folder, F.lit("")), "path").alias("root")).distinct()
+    roots = files.select(_run_of().alias("root")).distinct()
     paths = [r.root for r in roots.collect()]
     if not paths:
         if schema is None:

@@ -3,6 +3,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tertulia.operators import bronze
@@ -167,3 +168,15 @@ def test_newest_run_is_read_whole(spark, tmp_path):
         os.utime(tmp_path / "second" / name, (time.time() + 10 + k,) * 2)
     listing = snapshots.snapshot_listing(spark, str(tmp_path))
     assert snapshots.read_files(spark, snapshots.latest_by_mtime(listing)).count() == 2000
+
+
+def test_a_run_partitioned_by_language_is_read_whole(spark, tmp_path):
+    docs = spark.range(100).select("id", F.concat(F.lit("l"), (F.col("id") % 4).cast("string")).alias("lang"))
+    docs.limit(10).write.parquet(str(tmp_path / "first"))
+    docs.repartition(4).write.partitionBy("lang").parquet(str(tmp_path / "second"))
+    newest = snapshots.latest_by_mtime(snapshots.snapshot_listing(spark, str(tmp_path)))
+    got = snapshots.read_files(spark, newest)
+    assert got.count() == 100 and set(got.columns) == {"id", "lang"}
+    docs.withColumn("run_ts", F.lit("20240101_000000")).write.partitionBy("run_ts", "lang").parquet(str(tmp_path / "stamped"))
+    listing = snapshots.snapshot_listing(spark, str(tmp_path / "stamped"))
+    assert snapshots.read_files(spark, snapshots.latest_by_mtime(listing)).count() == 100
