@@ -7,26 +7,30 @@ two words how far the search may jump, the last block of a pattern selects its b
 the words themselves are compared before a match counts. Nothing is shuffled for it; only
 (document, pattern) pairs of matches meet the items afterwards.
 
-Patterns reach the executors in blocks of about `block` patterns, one block held by the
-driver at a time, so a benchmark of any size is searched whole. Every document row has a key
-of its own, written with it where several blocks are searched, by which what they find meets;
-the result is the same for any number of blocks.
+Patterns reach the executors in blocks of about `block` patterns. A block is searched for, to its
+written matches, before the next is collected, and its tables are destroyed then, so that the driver
+and each executor hold one block at a time and a benchmark of any size is searched whole. Every
+document row has a key of its own, written with it where there are several blocks, by which what
+they find meets; the result is the same for any number of blocks.
 
 Null and empty texts have no words and match nothing. Rows that repeat a doc_id, and rows of
 a null doc_id, are searched like any other; each gives a row, with its own hits and items.
-Items without words are never found; items with equal windows are all reported. Empty tables
+Items without words are never found; items with equal windows are all reported, so that there
+are no ties. A very long text is searched whole, as a piece of its own. Empty tables
 give empty (or all-clean) results. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tertulia.llm.rows import spare
 from tertulia.llm.words import PLAIN, Words, bounded_batches, mix, pieces, split
 from tertulia.sources.shared import written
 
@@ -128,13 +132,17 @@ def _confirmed(words: Words, groups: list[Patterns]) -> Iterator[tuple[int, int,
                 yield first, end, group.texts[k]
 
 
-def _matches(docs: DataFrame, patterns: list[str]) -> DataFrame:
-    """Of each document row, the words inside a match, as first and end, and the patterns."""
-    spark = docs.sparkSession
+def _tables(spark, patterns: list[str]):
+    """The search tables of one block of patterns, on every executor."""
     lengths: dict[int, list[bytes]] = {}
     for p in patterns:
         lengths.setdefault(p.count(" ") + 1, []).append(p.encode())
-    tables = spark.sparkContext.broadcast([Patterns(texts) for _, texts in sorted(lengths.items())])
+    return spark.sparkContext.broadcast([Patterns(texts) for _, texts in sorted(lengths.items())])
+
+
+def _matches(docs: DataFrame, tables, every: bool) -> DataFrame:
+    """Of each document row (with a match, or `every`) the words inside a match, as first and
+    end, and the patterns."""
 
     def search(batches):
         for rows, texts in pieces(batches):
@@ -146,16 +154,25 @@ def _matches(docs: DataFrame, patterns: list[str]) -> DataFrame:
             for doc, (first, end, name) in zip(np.searchsorted(words.docs, [f for f, *_ in found], "right") - 1, found):
                 spans[doc].add((first - int(words.docs[doc]), end - int(words.docs[doc])))
                 names[doc].add(name.decode())
-            yield pa.RecordBatch.from_arrays([
+            out = pa.RecordBatch.from_arrays([
                 rows.column(KEY), rows.column("doc_id"), pa.array(words.counts(), pa.int64()),
                 pa.array([[{"first": a, "end": b} for a, b in _joined(s)] for s in spans],
                          pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                 pa.array([sorted(s) for s in names], pa.list_(pa.string()))], [KEY, "doc_id", "n_words", "hits", "patterns"])
+            yield out if every else out.filter(pa.array([bool(s) for s in spans]))
 
     return docs.select(KEY, "doc_id", "text").mapInArrow(
         search, f"{KEY} long, doc_id long, n_words long, hits array<struct<first: long, end: long>>, patterns array<string>")
 
 
+def _blocks(patterns: DataFrame, block: int) -> Iterator[list[str]]:
+    """The patterns in blocks of about so many, one at a time; one, perhaps empty, at least."""
+    blocks = max(1, -(-patterns.count() // block))
+    for k in range(blocks):
+        part = patterns if blocks == 1 else patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
+        yield [r[0] for r in part.collect()]
+
+
 def _joined(spans: set) -> list[tuple[int, int]]:
     """Overlapping or touching spans as one."""
     out: list[list[int]] = []
@@ -167,42 +184,38 @@ def _joined(spans: set) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.monotonically_increasing_id())
-
-
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = BLOCK) -> DataFrame:
     """Of each document row doc_id, n_words, hits (spans of words, first and end), items
     (the item_ids found, sorted as strings)."""
-    return _hits(_keyed(docs), benchmark, size, block, False).drop(KEY)
-
-
-def _hits(docs: DataFrame, benchmark: DataFrame, size: int, block: int, is_written: bool) -> DataFrame:
-    """The same for rows with their key, which keeps its value where the rows are written."""
-    bounded_batches(docs.sparkSession)
-    docs = docs.select(KEY, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    windows = item_windows(benchmark, size)
-    wanted = windows.select("pattern").distinct()
-    count = wanted.count()
-    blocks = max(1, -(-count // block))
-    if blocks > 1 and not is_written:
-        docs = written(docs, "rows")
-    found = None
-    for k in range(blocks):
-        part = wanted if blocks == 1 else wanted.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
-        each = _matches(docs, [r[0] for r in part.collect()])
-        found = each if found is None else found.unionByName(each)
-    if blocks > 1:
-        found = found.groupBy(KEY, "doc_id", "n_words").agg(
-            F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("patterns")).alias("patterns"))
-        found = found.withColumn("hits", _joined_spans("hits"))
-    found = written(found, "matches")  # read twice below, searched once
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.monotonically_increasing_id().alias(KEY))
+    windows = written(item_windows(benchmark, size), "windows")
+    patterns = windows.select("pattern").distinct()
+    several = patterns.count() > block
+    if several:
+        docs = written(docs, "rows")  # so that a row keeps its key from one search to the next
+    # Each block is searched to its written matches before the next is collected. The first
+    # search gives a row for every document, the others for documents with a match.
+    parts = []
+    for each in _blocks(patterns, block):
+        tables = _tables(spark, each)
+        parts.append(written(_matches(docs, tables, not parts), "matches"))
+        tables.destroy()
+    found = parts[0]
+    if several:
+        hit = reduce(DataFrame.unionByName, parts).where(F.size("hits") > 0).groupBy(F.col(KEY).alias("_key")).agg(
+            F.flatten(F.collect_list("hits")).alias("_hits"), F.flatten(F.collect_list("patterns")).alias("_patterns"))
+        found = found.join(hit, F.col(KEY) == F.col("_key"), "left").select(
+            KEY, "doc_id", "n_words", F.when(F.col("_key").isNull(), F.col("hits")).otherwise(_joined_spans("_hits")).alias("hits"),
+            F.coalesce("_patterns", "patterns").alias("patterns"))
     items = (
         found.where(F.size("patterns") > 0).select(F.col(KEY).alias("of"), F.explode("patterns").alias("pattern"))
         .join(windows, "pattern").groupBy("of").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
     return found.join(items, found[KEY] == items["of"], "left").select(
-        KEY, "doc_id", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        "doc_id", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _joined_spans(column: str) -> F.Column:
@@ -218,11 +231,35 @@ def _joined_spans(column: str) -> F.Column:
         .otherwise(F.concat(a, F.array(x))))
 
 
-def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The documents, with all their columns, in which no benchmark window occurs."""
-    keyed = written(_keyed(docs), "keyed")
-    hit = _hits(keyed, benchmark, size, BLOCK, True).where(F.size("hits") > 0).select(F.col(KEY).alias("_hit"))
-    return keyed.join(hit, keyed[KEY] == hit["_hit"], "left_anti").select(*docs.columns)
+def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = BLOCK) -> DataFrame:
+    """The documents, with all their columns, in which no benchmark window occurs. Rows go or
+    stay in the task that reads them; with several blocks of patterns, what one leaves is
+    written before the next is searched for, so that one table lives at a time."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    patterns = written(item_windows(benchmark, size).select("pattern").distinct(), "patterns")
+    body, schema = spare(docs.columns, "body"), docs.schema
+    kept = docs
+
+    def without(tables):
+        def search(batches):
+            for rows, texts in pieces(batches, body):
+                words = split(texts, PLAIN, lower=True)
+                firsts = [first for first, *_ in _confirmed(words, tables.value)]
+                clean = np.ones(len(texts), bool)
+                clean[np.searchsorted(words.docs, firsts, "right") - 1] = False
+                yield rows.filter(pa.array(clean)).select(schema.names)
+
+        return kept.withColumn(body, F.col("text").cast("string")).mapInArrow(search, schema)
+
+    last = None
+    for each in _blocks(patterns, block):
+        if last is not None:
+            kept = written(kept, "clean")
+            last.destroy()
+        last = _tables(spark, each)
+        kept = without(last)
+    return kept
 
 
 def op7(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,9 +15,10 @@ run of a containment of `THRESHOLD` or more is found, and no tokens from farther
 Templates are a fixed parameter of a few hundred tokens, the one thing that is broadcast.
 Texts are read once; what is kept of them are the template tokens of each block.
 
-A null or empty text has no words, places or labels and scores 0. Rows that repeat a doc_id
-are expected to repeat its text; each gives a row. Rows of a null doc_id share their template
-labels. An empty table gives an empty result. Other columns are not read.
+A null or empty text has no words, places or labels and scores 0. Rows are kept
+apart by a number of their own, so that rows of one doc_id, or of none, each have their own
+places and labels. Of equal containments the label sorts first. Very long texts are many
+blocks. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -81,14 +82,15 @@ def _needed(tokens: list[str], threshold: float) -> int:
 
 
 def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_words, places (label and first word of each phrase), blocks: the template
+    """row (a number of its own), doc_id, n_words, places (label and first word of each phrase), blocks: the template
     tokens, with their places, of each block that has enough of them for any template. Texts
     are read here and nowhere else."""
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     half = 2 * max(len(t.split()) for _, t in templates)
     least = min(_needed(t.split(), threshold) for _, t in templates)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", _words(F.col("text")).alias("all_words"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("row", "doc_id", "text", _words(F.col("text")).alias("all_words"))
 
     def block(k: Column) -> Column:
         run = F.transform(F.slice("all_words", k * half + 1, 2 * half), lambda w, i: F.struct(i.alias("word"), w.alias("token")))
@@ -96,7 +98,7 @@ def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLA
 
     # Phrases are looked for only in texts that hold one.
     rows = rows.select(
-        "doc_id", F.size("all_words").cast("long").alias("n_words"),
+        "row", "doc_id", F.size("all_words").cast("long").alias("n_words"),
         F.when(F.col("text").rlike(_any_phrase(phrases)), F.col("all_words")).otherwise(F.array().cast("array<string>")).alias("words"),
         F.filter(
             F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("all_words") / half).cast("int") - 2)), block),
@@ -106,14 +108,14 @@ def scanned(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLA
         return F.transform(_places("words", phrase), lambda i: F.struct(F.lit(label).alias("label"), i.alias("word")))
 
     places = F.concat(*(labelled(*item) for item in phrases.items()))
-    return rows.select("doc_id", "n_words", places.alias("places"), "blocks")
+    return rows.select("row", "doc_id", "n_words", places.alias("places"), "blocks")
 
 
 def matched(scans: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, label, containment of every block and template with a run at or over the threshold."""
+    """row, label, containment of every block and template with a run at or over the threshold."""
     spark = scans.sparkSession
-    blocks = scans.select("doc_id", F.explode("blocks").alias("run"))
-    blocks = blocks.select("doc_id", "run", F.array_distinct(F.col("run")["token"]).alias("block"))
+    blocks = scans.select("row", F.explode("blocks").alias("run"))
+    blocks = blocks.select("row", "run", F.array_distinct(F.col("run")["token"]).alias("block"))
     counts = blocks.select(F.explode("block").alias("token")).groupBy("token").count().collect()  # template tokens only
     seen = {r["token"]: r["count"] for r in counts}
     order = sorted({w for _, t in templates for w in t.split()}, key=lambda w: (seen.get(w, 0), w))
@@ -128,9 +130,9 @@ def matched(scans: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     # Every block in the global order, then one row for each of its tokens that is in a prefix.
     sorted_blocks = blocks.where(F.size("block") >= min(r[5] for r in index)).where(
         F.arrays_overlap("block", F.lit(sorted({r[0] for r in index}))))
-    sorted_blocks = sorted_blocks.select("doc_id", "run", F.transform(
+    sorted_blocks = sorted_blocks.select("row", "run", F.transform(
         F.array_sort(F.transform("block", lambda t: F.struct(F.array_position(ranks, t).alias("rank"), t.alias("token")))), lambda x: x["token"]).alias("block"))
-    met = sorted_blocks.select("doc_id", "run", "block", F.posexplode("block").alias("at", "token")).join(F.broadcast(prefixes), "token")
+    met = sorted_blocks.select("row", "run", "block", F.posexplode("block").alias("at", "token")).join(F.broadcast(prefixes), "token")
     met = met.where(
         (F.size("block") >= F.col("needed"))
         & (1 + F.least(F.size("tokens") - F.col("place") - 1, F.size("block") - F.col("at") - 1) + F.least("place", "at") >= F.col("needed")))
@@ -139,16 +141,16 @@ def matched(scans: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     met = met.withColumn("run", F.filter("run", lambda x: F.array_contains("tokens", x["token"])))
     both = F.array_max(F.transform("run", lambda first: F.size(F.array_distinct(F.transform(F.filter(
         "run", lambda x: (x["word"] >= first["word"]) & (x["word"] < first["word"] + F.col("span"))), lambda x: x["token"])))))
-    return met.select("doc_id", "label", both.alias("both"), "tokens", "needed").where(F.col("both") >= F.col("needed")).select(
-        "doc_id", "label", (F.col("both") / F.size("tokens")).alias("containment")).distinct()
+    return met.select("row", "label", both.alias("both"), "tokens", "needed").where(F.col("both") >= F.col("needed")).select(
+        "row", "label", (F.col("both") / F.size("tokens")).alias("containment")).distinct()
 
 
 def licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, places, matches (label and best containment of each label)."""
     scans = written(scanned(docs, phrases, templates, threshold), "scans")
-    best = matched(scans, templates, threshold).groupBy("doc_id", "label").agg(F.max("containment").alias("containment"))
-    best = best.groupBy(F.col("doc_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("label", "containment"))).alias("matches"))
-    return scans.join(best, scans["doc_id"].eqNullSafe(best["of"]), "left").select(
+    best = matched(scans, templates, threshold).groupBy("row", "label").agg(F.max("containment").alias("containment"))
+    best = best.groupBy(F.col("row").alias("of")).agg(F.array_sort(F.collect_list(F.struct("label", "containment"))).alias("matches"))
+    return scans.join(best, scans["row"] == best["of"], "left").select(
         "doc_id", "n_words", "places", F.coalesce("matches", F.array().cast("array<struct<label: string, containment: double>>")).alias("matches"))
 
 

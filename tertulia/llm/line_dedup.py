@@ -10,9 +10,11 @@ third of all pages nor a line on all of them gathers anywhere. Of a page only th
 its boilerplate lines come back to it, by its doc_id.
 
 A null host is a host of its own. A null or empty text has no lines and stays as it is. Rows
-that repeat a doc_id are expected to repeat its text and host; each counts as a page. Rows of
+that repeat a doc_id each count as a page and lose what is boilerplate of their own host. Rows of
 a null doc_id are counted and left as they are. A text may become empty; no row is dropped.
-An empty table gives an empty result.
+Lines of
+equal words are one line, so there are no ties. A very long text is one row and one array of
+lines. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tertulia.llm.rows import spare
+
 BLANKS = " \t\x0b\f\r"
 #: One page in twenty; below 100 pages of a host, `LEAST_PAGES` is the higher bar.
 RATIO = 0.05
@@ -37,7 +41,7 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """doc_id and the digests of its lines that are boilerplate of its host."""
+    """doc_id, host and the digests of the lines there that are boilerplate of the host."""
     pages = docs.select("doc_id", F.col(host).alias("host"), F.col("text").alias("text"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     on = pages.select(
@@ -47,12 +51,16 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, lea
     drop = h.where(F.col("with_line") > ratio * F.col("pages")).select(F.col("host").alias("of"), F.col("line").alias("key"))
     return (
         on.where("doc_id IS NOT NULL").join(drop, on["host"].eqNullSafe(drop["of"]) & (on["line"] == drop["key"]), "left_semi")
-        .groupBy("doc_id").agg(F.collect_set("line").alias("drop")))
+        .groupBy("doc_id", "host").agg(F.collect_set("line").alias("drop")))
 
 
-def _marked(docs: DataFrame, host: str, ratio: float, least_pages: int) -> DataFrame:
-    found = boilerplate(docs, host, ratio, least_pages).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop"))
-    return docs.join(found, docs["doc_id"] == found["_of"], "left").drop("_of")
+def _marked(docs: DataFrame, host: str, ratio: float, least_pages: int) -> tuple[DataFrame, str]:
+    """The documents with the digests to drop, and the name of that column."""
+    of, at, drop = (spare(docs.columns, c) for c in ("of", "at", "drop"))
+    found = boilerplate(docs, host, ratio, least_pages).select(
+        F.col("doc_id").alias(of), F.col("host").alias(at), F.col("drop").alias(drop))
+    same = (docs["doc_id"] == found[of]) & docs[host].eqNullSafe(found[at])
+    return docs.join(found, same, "left").drop(of, at), drop
 
 
 def _kept(text: Column, drop: Column) -> Column:
@@ -62,23 +70,24 @@ def _kept(text: Column, drop: Column) -> Column:
 def without_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """The documents, with all their columns, without boilerplate lines; n_chars, where there
     is one, follows the text of those that changed."""
-    out = _marked(docs, host, ratio, least_pages).withColumn("text", F.when(
-        F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(_kept(F.col("text"), F.col("_drop")), "\n")))
+    out, drop = _marked(docs, host, ratio, least_pages)
+    out = out.withColumn("text", F.when(
+        F.col(drop).isNull(), F.col("text")).otherwise(F.array_join(_kept(F.col("text"), F.col(drop)), "\n")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        out = out.withColumn("n_chars", F.when(F.col(drop).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
     return out.select(*docs.columns)
 
 
 def op4(docs: DataFrame) -> DataFrame:
     """Per document: lines with a word, dropped lines, and the SHA-256 of what is kept."""
-    marked = _marked(docs.select("doc_id", "source", "text"), "source", RATIO, LEAST_PAGES)
+    marked, name = _marked(docs.select("doc_id", "source", "text"), "source", RATIO, LEAST_PAGES)
     lines = _lines(F.col("text"))
-    drop = F.coalesce("_drop", F.array().cast("array<string>"))
-    kept = F.when(F.col("_drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(_kept(F.col("text"), drop), "\n"))
+    drop = F.coalesce(name, F.array().cast("array<string>"))
+    kept = F.when(F.col(name).isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(_kept(F.col("text"), drop), "\n"))
     return marked.select(
         "doc_id", F.size(F.filter(lines, lambda x: F.trim(x, F.lit(BLANKS)) != "")).cast("long").alias("n_lines"),
-        F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size(F.filter(
+        F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.size(F.filter(
             lines, lambda x: F.array_contains(drop, _digest(x))))).cast("long").alias("n_dropped"),
         F.sha2(kept, 256).alias("kept_sha256"))
 

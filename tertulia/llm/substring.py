@@ -10,8 +10,8 @@ overlapping ones to maximal repeats. An anchor that millions of documents share
 runs meet by their hash (64 bits, not confirmed on words) through an aggregate to the smallest doc_id, never
 in pairs. Whole copies are set aside first by a 128-bit name of their word sequence.
 
-Null and empty texts have no words. Rows that repeat a doc_id are expected to repeat its
-text; each gives a row, and they are no repeats of each other. Rows of a null doc_id are
+Null and empty texts have no words. A row is known by its doc_id and a hash of its text, so
+rows that repeat a doc_id are each judged on their own text; they are no repeats of each other. Rows of a null doc_id are
 returned unchanged and are no source of repeats. Of equal documents the smallest doc_id
 keeps its words. An empty table gives an empty result. Other columns are not read.
 """
@@ -47,11 +47,12 @@ def anchors(words: Words, h: np.ndarray, length: int, seed: int) -> tuple[np.nda
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("text"))
 
 
 def _seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """doc_id, the name of its word sequence, and its distinct anchors."""
+    """doc_id and key of a row, the name of its word sequence, and its distinct anchors."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in pieces(batches):
@@ -63,16 +64,16 @@ def _seeds(docs: DataFrame, length: int, seed: int) -> DataFrame:
             own = [np.unique(least[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             off = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in names),
+                [rows.column("doc_id"), rows.column("key"), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in names),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(own).view(np.int64)))],
-                ["doc_id", "n_words", "name_a", "name_b", "anchors"])
+                ["doc_id", "key", "n_words", "name_a", "name_b", "anchors"])
 
     return _texts(docs).where("doc_id IS NOT NULL").mapInArrow(
-        scan, "doc_id long, n_words long, name_a long, name_b long, anchors array<long>")
+        scan, "doc_id long, key long, n_words long, name_a long, name_b long, anchors array<long>")
 
 
 def _extensions(texts: DataFrame, shared: DataFrame, length: int, seed: int) -> DataFrame:
-    """run (hash), doc_id and first word of every run of `length` words whose anchor is shared."""
+    """run (hash), doc_id, key and first word of every run of `length` words whose anchor is shared."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, found in pieces(batches):
@@ -92,35 +93,35 @@ def _extensions(texts: DataFrame, shared: DataFrame, length: int, seed: int) ->
             first, doc = first[hit], doc[hit]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(windows(h, first, length).view(np.int64)), rows.column("doc_id").take(pa.array(doc)),
-                 pa.array((first - words.docs[doc]).astype(np.int32))], ["run", "doc_id", "first"])
+                 rows.column("key").take(pa.array(doc)), pa.array((first - words.docs[doc]).astype(np.int32))], ["run", "doc_id", "key", "first"])
 
-    return texts.join(shared.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of")).select(
-        "doc_id", "text", "shared").mapInArrow(extend, "run long, doc_id long, first int")
+    return texts.join(shared, ["doc_id", "key"]).select("doc_id", "key", "text", "shared").mapInArrow(
+        extend, "run long, doc_id long, key long, first int")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """doc_id, whole (all of it repeats a smaller doc_id), firsts: the first words of its runs
+    """doc_id, key, whole (all of it repeats a smaller doc_id), firsts: the first words of its runs
     of `length` words that occur in a smaller doc_id. Only documents that have any."""
     bounded_batches(docs.sparkSession)
     seeds = written(_seeds(docs, length, seed).where(f"n_words >= {length}"), "seeds")
     name = ["name_a", "name_b", "n_words"]
     smallest = seeds.groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    copies = seeds.select("doc_id", *name).join(smallest, name).where("doc_id > rep").select("doc_id").distinct()
+    copies = seeds.select("doc_id", "key", *name).join(smallest, name).where("doc_id > rep").select("doc_id", "key").distinct()
     sources = written(
         seeds.join(smallest.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-        .select("doc_id", F.explode("anchors").alias("anchor")), "anchors")
+        .select("doc_id", "key", F.explode("anchors").alias("anchor")), "anchors")
     common = sources.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    shared = sources.join(common.select("anchor"), "anchor", "left_semi").groupBy("doc_id").agg(
+    shared = sources.join(common.select("anchor"), "anchor", "left_semi").groupBy("doc_id", "key").agg(
         F.collect_set("anchor").alias("shared"))
     runs = written(_extensions(_texts(docs), shared, length, seed), "runs")
     # Written, so that the join below has two plain shuffles and a hot run can be split.
     earliest = written(runs.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
                        .where("low < high").select("run", "low"), "earliest")
-    found = runs.join(earliest, "run").where("doc_id > low").groupBy("doc_id").agg(
+    found = runs.join(earliest, "run").where("doc_id > low").groupBy("doc_id", "key").agg(
         F.collect_set("first").alias("firsts"))
     return written(
-        found.select("doc_id", F.lit(False).alias("whole"), "firsts")
-        .unionByName(copies.select("doc_id", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("firsts"))), "repeats")
+        found.select("doc_id", "key", F.lit(False).alias("whole"), "firsts")
+        .unionByName(copies.select("doc_id", "key", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("firsts"))), "repeats")
 
 
 def _cut(docs: DataFrame, length: int, seed: int, schema: str, row) -> DataFrame:
@@ -128,7 +129,7 @@ def _cut(docs: DataFrame, length: int, seed: int, schema: str, row) -> DataFrame
     names = [c.split()[0] for c in schema.split(", ")]
     types = {"long": pa.int64(), "string": pa.string(), "array<array<long>>": pa.list_(pa.list_(pa.int64()))}
     types = [types[c.split()[1]] for c in schema.split(", ")]
-    found = repeats(docs, length, seed).withColumnRenamed("doc_id", "of")
+    found = repeats(docs, length, seed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in pieces(batches):
@@ -145,7 +146,7 @@ def _cut(docs: DataFrame, length: int, seed: int, schema: str, row) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*out), types))], ["doc_id", *names])
 
-    return _texts(docs).join(found, F.col("doc_id") == F.col("of"), "left").select(
+    return _texts(docs).join(found, ["doc_id", "key"], "left").select(
         "doc_id", "text", "whole", "firsts").mapInArrow(cut, f"doc_id long, {schema}")
 
 

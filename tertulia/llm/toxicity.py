@@ -6,8 +6,9 @@ letters they imitate, invisible characters away, digits and signs that stand for
 inside an exception phrase doesn't count. Three figures of the matches (their summed weight,
 the same for each root of the length, and whether there are any) go into a logistic score.
 
-The lexicon has fixed seed terms and terms learned from labelled rows: those whose documents
-are toxic beyond chance (log-likelihood ratio). Lexicon and score are fitted on a bounded
+The lexicon is learned from labelled rows: the words whose documents are toxic beyond chance
+(log-likelihood ratio), `TERMS` of them at most, each in `LEAST_DOCS` toxic documents at least;
+`Model.left_out` counts the words that met the ratio and were beyond that number. Lexicon and score are fitted on a bounded
 sample of labelled training rows, the `SAMPLE` smallest by a hash of doc_id; rows whose
 crc32 of doc_id as text is a multiple of five are held out. Label, language, source and
 doc_id are no inputs of a score. All texts are scored whole.
@@ -15,8 +16,9 @@ doc_id are no inputs of a score. All texts are scored whole.
 Null and empty texts score as texts without matches. Rows that repeat a doc_id are scored
 one by one; in the training sample each counts. A null doc_id is not held out (its remainder
 is null, held_out false) and never trains. Of labels that repeat a doc_id the larger value
-counts; null labels train nothing. Without labels of both kinds only the seed terms count,
-with a fixed score. An empty table gives an empty result.
+counts; null labels train nothing. Without labels of both kinds there is no lexicon and every
+score is the same, under one half. A very long text is folded and matched in one pass. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,9 +44,7 @@ TERMS = 2_000
 LEAST_RATIO = 20.0
 LEAST_DOCS = 3
 
-# Seed terms and their weight, and phrases in which a term is harmless.
-SEED_TERMS = "idiot moron stupid scum trash worthless pathetic disgusting loser clown".split()
-SEED_WEIGHT = 4.0
+# Phrases in which a term is harmless.
 EXCEPTIONS = ("class clown", "clown fish", "trash can", "trash bin", "trash bag", "take out the trash")
 
 # Characters that imitate Latin letters.
@@ -73,6 +73,7 @@ class Model:
     exceptions: tuple[str, ...] = EXCEPTIONS
     #: Of the three figures and one, for a score without training.
     factors: list[float] = field(default_factory=lambda: [0.5, 0.5, 2.0, -3.0])
+    left_out: int = 0
     _automaton: object = None
 
     def matches(self, folded: str) -> list[tuple[int, int, str]]:
@@ -134,22 +135,22 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("good"))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS, least_docs: int = LEAST_DOCS,
+           least_ratio: float = LEAST_RATIO) -> Model:
     bounded_batches(docs.sparkSession)
     rows = written(training_rows(docs, labels, sample), "labelled")
     bad, good = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
-    seeds = dict.fromkeys(SEED_TERMS, SEED_WEIGHT)
     if not bad or not good:
-        return Model(seeds)
+        return Model({})
     part = lambda seen, total: F.when(F.col(seen) > 0, F.col(seen) * F.log(
         F.col(seen) * float(bad + good) / ((F.col("bad") + F.col("good")) * float(total)))).otherwise(0.0)
-    learned = (
-        _word_counts(rows).where(F.col("bad") >= LEAST_DOCS)
+    telling = written(
+        _word_counts(rows).where(F.col("bad") >= least_docs)
         .withColumn("weight", F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0)))
         .withColumn("ratio", 2 * (part("bad", bad) + part("good", good)))
-        .where((F.col("weight") > 1) & (F.col("ratio") >= LEAST_RATIO))
-        .orderBy(F.desc("ratio"), "word").limit(TERMS).collect())
-    model = Model({r["word"]: r["weight"] for r in learned} | {t: max(SEED_WEIGHT, *(r["weight"] for r in learned if r["word"] == t), 0.0) for t in seeds})
+        .where((F.col("weight") > 1) & (F.col("ratio") >= least_ratio)), "telling")
+    learned = telling.orderBy(F.desc("ratio"), "word").limit(terms).collect()
+    model = Model({r["word"]: r["weight"] for r in learned}, left_out=telling.count() - len(learned))
     model.factors = _logistic(*_figures_of(rows, model))
     return model
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -150,10 +151,28 @@ def test_toxicity_learns_and_is_folded(spark):
     assert toxicity.fold("1d1ot tr@sh 2024 a1 i.e. 100") == "idiot trash 2024 ai i.e. 100"
 
 
-def test_toxicity_without_labels_uses_the_seed_terms(spark):
+def test_toxicity_without_labels_has_no_lexicon(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
-    got = rows(toxicity.op5(frame(spark, [(1, "you idiot"), (2, "hello there")]), labels), 3)
-    assert got[1][2] == 1 and got[2][2] == 0
+    got = rows(toxicity.op5(frame(spark, [(1, "you idiot"), (2, None)]), labels), 3)
+    assert got[1] == got[2] and got[1][2] == 0
+
+
+def test_toxicity_scores_are_those_of_a_plain_count(spark):
+    """Scores by a plain search for the words of the learned lexicon, without the automaton."""
+    r = random.Random(6)
+    plain, bad = [f"good{k}" for k in range(40)], ["zorkel", "vantrix", "plo", "class", "clown"]
+    made = [(k, " ".join(r.choice(plain + bad * (k % 3 == 0)) for _ in range(r.randint(0, 40))) + " class clown" * (k % 27 == 1)) for k in range(300)]
+    df, labels = frame(spark, made), spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, toxic int")
+    model = toxicity.fitted(df, labels)
+    assert {"zorkel", "vantrix", "plo"} < set(model.weights) and {"class", "clown"} & set(model.weights) and model.left_out == 0
+    for doc, score in rows(toxicity.scored(df, model), 1).items():
+        words = made[doc][1].split(" ")
+        weight = sum(model.weights.get(w, 0) for k, w in enumerate(words)
+                     if not (w == "clown" and k and words[k - 1] == "class" or w == "class" and words[k + 1: k + 2] == ["clown"]))
+        figures = [math.log1p(weight), weight / math.sqrt(len(words)), float(weight > 0), 1.0]
+        assert score[0] == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip(figures, model.factors)))))
+    few = toxicity.fitted(df, labels, terms=2)
+    assert len(few.weights) == 2 and few.left_out == len(model.weights) - 2
 
 
 def test_chat_round_trip(spark):
@@ -242,8 +261,11 @@ def test_mixing(spark):
     for doc, (size, source_size, target, taken) in _plain_mix(made).items():
         assert got[doc] == (size, source_size, pytest.approx(target), taken), doc
     mixed = mixing.mixed(df).collect()
-    places = [x.mix_position for x in mixed]
-    assert places == sorted(places) and {x.doc_id for x in mixed} == {d for d, x in got.items() if x[3] > 0}
+    places, taken = [x.mix_position for x in mixed], {}
+    for x in mixed:
+        taken[x.doc_id] = taken.get(x.doc_id, 0) + x.mix_taken
+    assert places == sorted(places) and taken == {d: x[3] for d, x in got.items() if x[3] > 0}
+    assert len({(x.doc_id, x.mix_copy) for x in mixed}) == len(mixed) and max(x.mix_copy for x in mixed) == 2
 
 
 def test_schedule_is_inverted(spark):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tertulia.llm import quality
+from tertulia.llm import line_dedup, quality
 from tertulia.sources.shared import written
 from tests.llm import brute
+from tests.llm.test_operators import _plain_mix
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,13 +28,17 @@ def test_stages_equal_their_plain_versions(spark):
                 for line in {x.strip(" \t\v\f\r") for x in r.text.split("\n")}:
                     counts[r.source, line] = counts.get((r.source, line), 0) + 1
             for d, r in before.items():
-                kept = [x for x in r.text.split("\n") if not x.strip(" \t\v\f\r") or counts[r.source, x.strip(" \t\v\f\r")] < 5
-                        or counts[r.source, x.strip(" \t\v\f\r")] <= 0.1 * pages[r.source]]
+                kept = [x for x in r.text.split("\n") if not x.strip(" \t\v\f\r") or counts[r.source, x.strip(" \t\v\f\r")] < line_dedup.LEAST_PAGES
+                        or counts[r.source, x.strip(" \t\v\f\r")] <= line_dedup.RATIO * pages[r.source]]
                 assert after[d].text == "\n".join(kept)
         elif name == "near duplicates":
             assert set(after) == {d for d, (_, _, kept) in brute.op3(texts).items() if kept}
         elif name == "benchmark decontamination":
             assert set(after) == {d for d, x in brute.op7(texts, items).items() if not x[4]}
         else:
-            assert all(0 < r.mix_taken <= 3 * len(brute.words(r.text)) for r in after.values())
+            taken = {}
+            for r in out.collect():
+                taken[r.doc_id] = taken.get(r.doc_id, 0) + r.mix_taken
+            plan = _plain_mix([(d, r.text, r.source) for d, r in before.items()])
+            assert taken == {d: x[3] for d, x in plan.items() if x[3]}
         docs = out
