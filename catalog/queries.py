@@ -20,7 +20,7 @@ from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_number, to_scor
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
 from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
-from tertulia.plans import gold, incremental, silver as silver_plans
+from tertulia.plans import gold, incremental, incremental_marts, silver as silver_plans
 from tertulia.plans.kinds import ARTICLES, POSTS
 from tertulia.sources import json_arrays, json_batches, runs, snapshots
 from tertulia.sources.shared import shared_folder, written
@@ -571,6 +571,7 @@ add("polarity", lambda s, d: plain(i.corpus(s, d).select("url", "polarity")),
 add("volume_trend", lambda s, d: _out(marts.volume_trend(i.corpus_facts(s, d))),
     f"SELECT source, {DAY}, record_count FROM volume_trend")
 add("top_keywords", lambda s, d: marts.top_keywords(i.corpus(s, d)), "SELECT * FROM top_keywords")
+add("top_keywords_by_bound", lambda s, d: marts.top_keywords_by_bound(i.corpus(s, d)), "SELECT * FROM top_keywords")
 add("score_trend", lambda s, d: _out(marts.score_trend(i.corpus_facts(s, d), "click")),
     f"SELECT {DAY}, round(avg_score, 6) AS avg_score, post_count FROM score_trend")
 add("top_authors", lambda s, d: marts.top_authors(i.corpus_facts(s, d)),
@@ -580,7 +581,7 @@ add("sentiment_dist", lambda s, d: marts.sentiment_dist(i.corpus(s, d)), "SELECT
 add("sentiment_trend", lambda s, d: _out(marts.sentiment_trend(i.corpus(s, d))),
     f"SELECT {DAY}, source, round(avg_polarity, 6) AS avg_polarity, record_count FROM sentiment_trend")
 add("keywords_sentiment", lambda s, d: marts.keywords_sentiment(i.corpus(s, d)), "SELECT * FROM keywords_sentiment")
-
+add("keywords_sentiment_by_bound", lambda s, d: marts.keywords_sentiment_by_bound(i.corpus(s, d)), "SELECT * FROM keywords_sentiment")
 
 
 def gold_run(spark, sf):
@@ -589,6 +590,10 @@ def gold_run(spark, sf):
     silver_articles = silver_plans.process_articles(i.raw_articles(spark, sf))
     scored = gold.scored_corpus(silver_posts, silver_articles, i.POSITIVE, i.NEGATIVE)
     paths = gold.write_marts(spark, scored, shared_folder(spark, "gold"), RUNS[0])
+    return _seven({mart: snapshots.read_latest_run(spark, path) for mart, path in paths.items()})
+
+
+def _seven(tables, figure="round(cast({} AS double), 6)"):
     columns = {
         "volume": ("NULL", "source", "fecha", "NULL", "record_count"),
         "keywords": ("word", "source", "NULL", "NULL", "frequency"),
@@ -598,14 +603,32 @@ def gold_run(spark, sf):
         "sentiment_trend": ("NULL", "source", "fecha", "avg_polarity", "record_count"),
         "keywords_sentiment": ("concat(word, ' ', sentiment)", "source", "NULL", "NULL", "frequency"),
     }
-    out = [snapshots.read_latest_run(spark, paths[mart]).selectExpr(
+    out = [tables[mart].selectExpr(
         f"'{mart}' AS mart", f"cast({name} AS string) AS name", f"cast({source} AS string) AS source",
-        f"cast({day} AS string) AS day", f"round(cast({figure} AS double), 6) AS figure", f"cast({n} AS bigint) AS n")
-        for mart, (name, source, day, figure, n) in columns.items()]
+        f"cast({day} AS string) AS day", f"{figure.format(value)} AS figure", f"cast({n} AS bigint) AS n")
+        for mart, (name, source, day, value, n) in columns.items()]
     return corpus.union_sources(out)
 
 
-add("gold_run", gold_run, """
+def gold_incremental(spark, sf):
+    """The marts after two runs. In the first, a third of the urls have a row of a later day and
+    other words, which the second run replaces."""
+    rows = corpus.union_sources([
+        corpus.normalize_posts(silver_plans.process_posts(i.raw_posts(spark, sf)), "posts"),
+        corpus.normalize_articles(silver_plans.process_articles(i.raw_articles(spark, sf)), "articles")])
+    rows = written(rows, "silver_rows")
+    late = F.xxhash64("url") % 3 == 0
+    path = shared_folder(spark, "marts")
+    order = ("source", "day", "title", "author", "score", "text")
+    wrong = rows.where(late).withColumns({
+        "day": F.coalesce(F.date_add("day", 400), F.lit("2100-01-01").cast("date")), "score": F.col("score") + 7,
+        "text": F.concat(F.lit("that this pour "), "text"), "source": F.concat("source", F.lit(" late"))})
+    for run, new in zip(RUNS, (rows.where(~late).unionByName(wrong), rows)):
+        incremental_marts.refresh(spark, new, path, run, order, i.POSITIVE, i.NEGATIVE, 32)
+    return _seven({name: marts.published(mart) for name, mart in incremental_marts.read_marts(spark, path).items()}, "cast({} AS double)")
+
+
+GOLD = """
     SELECT 'volume' AS mart, CAST(NULL AS VARCHAR) AS name, source, CAST(day AS VARCHAR) AS day, CAST(NULL AS DOUBLE) AS figure, count(*) AS n
       FROM run GROUP BY source, run.day UNION ALL
     (SELECT 'keywords', word, source, NULL, NULL, count(*) AS c FROM run_words GROUP BY word, source ORDER BY c DESC, word, source LIMIT 50) UNION ALL
@@ -615,7 +638,12 @@ add("gold_run", gold_run, """
     SELECT 'sentiment_dist', sentiment, source, NULL, NULL, count(*) FROM run GROUP BY source, sentiment UNION ALL
     SELECT 'sentiment_trend', NULL, source, CAST(day AS VARCHAR), round(avg(polarity), 6), count(*) FROM run GROUP BY run.day, source UNION ALL
     (SELECT 'keywords_sentiment', word || ' ' || sentiment, source, NULL, NULL, count(*) AS c FROM run_words
-      GROUP BY word, sentiment, source ORDER BY c DESC, word, sentiment, source LIMIT 300)""")
+      GROUP BY word, sentiment, source ORDER BY c DESC, word, sentiment, source LIMIT 300)"""
+
+add("gold_run", gold_run, GOLD)
+# Sums of decimals are exact, so the means are equal without rounding.
+add("gold_incremental", gold_incremental, GOLD.replace("round(avg(score), 6)", "CAST(sum(score) AS DOUBLE) / count(*)").replace(
+    "round(avg(polarity), 6)", "CAST(sum(CAST(polarity AS DECIMAL(9, 4))) AS DOUBLE) / count(*)"))
 
 # Dashboards.
 

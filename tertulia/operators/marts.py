@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tertulia.operators.topk import top_counts
+
 TOP_KEYWORDS = 50
 TOP_AUTHORS = 20
 TOP_SENTIMENT_KEYWORDS = 300
@@ -64,6 +66,11 @@ def top_keywords(df: DataFrame, n: int = TOP_KEYWORDS) -> DataFrame:
     )
 
 
+def top_keywords_by_bound(corpus: DataFrame, n: int = TOP_KEYWORDS) -> DataFrame:
+    """`top_keywords` of a corpus whose vocabulary is too large to shuffle."""
+    return top_counts(words(corpus.select("text", "source")), ["word", "source"], n)
+
+
 def score_trend(df: DataFrame, source: str) -> DataFrame:
     return df.where(F.col("source") == source).groupBy("day").agg(
         _mean(df, "score").alias("avg_score"), _rows(df).alias("post_count"))
@@ -71,7 +78,7 @@ def score_trend(df: DataFrame, source: str) -> DataFrame:
 
 def top_authors(corpus: DataFrame, n: int = TOP_AUTHORS) -> DataFrame:
     return (
-        corpus.groupBy("author", "source").agg(F.count(F.lit(1)).alias("article_count"))
+        corpus.groupBy("author", "source").agg(_rows(corpus).alias("article_count"))
         .orderBy(F.desc("article_count"), F.asc_nulls_last("author"), "source").limit(n)
     )
 
@@ -91,3 +98,8 @@ def keywords_sentiment(df: DataFrame, n: int = TOP_SENTIMENT_KEYWORDS) -> DataFr
         tokens.groupBy("word", "sentiment", "source").agg(_rows(tokens).alias("frequency"))
         .orderBy(F.desc("frequency"), "word", "sentiment", "source").limit(n)
     )
+
+
+def keywords_sentiment_by_bound(corpus: DataFrame, n: int = TOP_SENTIMENT_KEYWORDS) -> DataFrame:
+    """`keywords_sentiment` of a corpus whose vocabulary is too large to shuffle."""
+    return top_counts(words(corpus), ["word", "sentiment", "source"], n)

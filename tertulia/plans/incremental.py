@@ -1,19 +1,10 @@
 """Silver that reads new bronze files only.
 
-A settled table holds the first record of each key, typed, in hash buckets of the key, and
-knows which bronze files it has taken. A run lists bronze, reads the files that are not among the
-taken ones, and compares their first records with the keys and places of the buckets they
-fall into (four narrow columns). Records that come first, of new keys or in place of later
-ones, are merged; only buckets with such records are written anew, into the run's own folder.
-What a run leaves are
-
-    rows/<run>/bucket=…/     the buckets that it wrote
-    taken/<run>/             the files that it read
-    buckets/<run>/           of every bucket the run that holds it
-
-and it counts from the moment its `buckets` are committed. A run that fails before leaves
-the table as it was, and its files are read again by the next. Memory: the driver holds a name
-for each new file and a number for each bucket.
+A settled table (`sources.buckets`) holds the first record of each key, typed, and knows which
+bronze files it has taken. A run lists bronze, reads the files that are not among the taken ones,
+and merges their first records. `taken/<run>/` lists the files that it read; it counts from the
+moment the table's buckets are committed. A run that fails before leaves the table as it was,
+and its files are read again by the next. The driver holds a name for each new file.
 """
 
 from __future__ import annotations
@@ -28,7 +19,7 @@ from pyspark.sql.types import StructType
 from tertulia.functions.wordlists import STOPWORDS
 from tertulia.operators.dedup import keep_first
 from tertulia.plans.kinds import Kind
-from tertulia.sources import json_batches, runs
+from tertulia.sources import buckets, json_batches, runs
 from tertulia.sources.shared import written
 
 FILES = "path string, length long, modified timestamp, run string"
@@ -42,12 +33,6 @@ def bronze_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def _owners(spark: SparkSession, path: str) -> dict[int, str]:
-    """Of every bucket the run whose folder holds it, as the last committed run says."""
-    newest = runs.read_newest(spark, f"{path}/buckets", "run")
-    return {r.bucket: r.owner for r in newest.collect()} if newest is not None else {}
-
-
 def taken(spark: SparkSession, path: str) -> DataFrame:
     """The bronze files of all runs that counted."""
     done = runs.committed(spark, f"{path}/buckets").select("run")
@@ -65,27 +50,20 @@ def new_files(spark: SparkSession, bronze: str, glob: str, path: str) -> DataFra
     return bronze_files(spark, bronze, glob).join(taken(spark, path), ["path", "length", "modified"], "left_anti")
 
 
-def _rows(spark: SparkSession, path: str, owners: dict[int, str], schema: StructType, buckets: Iterable[int] | None = None) -> DataFrame:
-    """The settled rows of these buckets, or of all; files of no others are listed or read."""
-    wanted = sorted(owners) if buckets is None else sorted(set(buckets) & set(owners))
-    folders = [f"{path}/rows/{owners[b]}/bucket={b}" for b in wanted]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
 def _beside(kind: Kind, order: Sequence[str]) -> list[str]:
     """What settled rows hold beside the columns of silver."""
     return ["key", *(c for c in order if c not in kind.columns)]
 
 
 def refresh(
-    spark: SparkSession, bronze: str, glob: str, path: str, run: str, kind: Kind, lines: bool = False, buckets: int = 256,
+    spark: SparkSession, bronze: str, glob: str, path: str, run: str, kind: Kind, lines: bool = False, n_buckets: int = buckets.BUCKETS,
     order: Sequence[str] = ORDER, stopwords: Iterable[str] = STOPWORDS,
 ) -> dict[str, list]:
     """Take in what has arrived as the run `run` (names sort by time). Returns the files read
     and the buckets written; both are empty where nothing is new.
 
     The number of buckets is fixed by the first run of a table."""
-    if runs.committed(spark, f"{path}/buckets").where(F.col("run") == run).count():
+    if buckets.is_committed(spark, path, run):
         raise ValueError(f"{run} is committed already")
     # What is listed is what counts as taken, whatever happens to the files meanwhile.
     arrived = written(new_files(spark, bronze, glob, path).withColumn("run", F.lit(run)), "arrived")
@@ -94,38 +72,19 @@ def refresh(
         return {"files": [], "buckets": []}
     raw = json_batches.read_json_files(spark, files, kind.schema, lines)
     keyed = raw.where("damaged IS NULL").drop("damaged").withColumn("key", kind.key())
-    # Written once: the first of each key among the new records, typed, and its bucket.
     first = keep_first(keyed, ["key"], order)
-    fresh = written(kind.typed(first, _beside(kind, order), stopwords).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")), "fresh")
-    schema = StructType([f for f in fresh.schema.fields if f.name != "bucket"])
-    owners = _owners(spark, path)
-    touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
-    before = _rows(spark, path, owners, schema, touched)
-    places = before.select("key", F.struct(*order).alias("_place"))
-    winners = written(
-        fresh.join(places, "key", "left").where(F.col("_place").isNull() | (F.struct(*order) < F.col("_place"))).drop("_place"), "winners")
-    changed = sorted(r.bucket for r in winners.select("bucket").distinct().collect())
-    if changed:
-        kept = _rows(spark, path, owners, schema, changed).join(winners.select("key"), "key", "left_anti")
-        kept = kept.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
-        merged = kept.select(*winners.columns).unionByName(winners)
-        # A bucket is one partition's worth by choice of their number; rows of one go to one writer.
-        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows/{run}")
+    done = buckets.merge(path, run, kind.typed(first, _beside(kind, order), stopwords), "key", order, n_buckets)
     arrived.write.mode("overwrite").parquet(f"{path}/taken/{run}")
-    owners.update({b: run for b in changed})
-    table = spark.createDataFrame(sorted(owners.items()), "bucket int, owner string")
-    runs.write_run(table.coalesce(1), f"{path}/buckets", run)
-    return {"files": files, "buckets": changed}
+    buckets.commit(spark, path, run, done)
+    return {"files": files, "buckets": done.changed}
 
 
 def settled(spark: SparkSession, path: str, kind: Kind) -> DataFrame:
     """The first record of each key of all files taken, typed, with key and place."""
-    owners = _owners(spark, path)
-    if not owners:
+    held = buckets.owners(spark, path)
+    if not held:
         return kind.typed(json_batches.read_json_files(spark, [], kind.schema, True).withColumn("key", kind.key()), _beside(kind, ORDER))
-    newest = max(owners, key=owners.get)
-    schema = spark.read.parquet(f"{path}/rows/{owners[newest]}/bucket={newest}").schema
-    return _rows(spark, path, owners, schema)
+    return buckets.read(spark, path, held)
 
 
 def silver_table(spark: SparkSession, path: str, kind: Kind) -> DataFrame:

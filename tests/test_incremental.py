@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tertulia.plans import incremental, silver
 from tertulia.plans.kinds import ARTICLES, POSTS
-from tertulia.sources import runs
+from tertulia.sources import buckets, runs
 from tertulia.sources.json_batches import read_json_batches
 from tertulia.streaming import first_rows, ingest
 
@@ -74,13 +74,13 @@ def test_silver_reads_new_files_only(spark, tmp_path, kind, pulls, process):
     folder, path, glob = tmp_path / "in", str(tmp_path / "table"), f"{kind.name}_*.json"
     for k, (name, records) in enumerate(pulls.items()):
         land(folder, name, records, lines=False)
-        done = incremental.refresh(spark, str(folder), glob, path, f"run{k}", kind, buckets=8)
+        done = incremental.refresh(spark, str(folder), glob, path, f"run{k}", kind, n_buckets=8)
         assert [f.rsplit("/", 1)[1] for f in done["files"]] == [name]
         batch = process(read_json_batches(spark, str(folder), glob, kind.schema))
         table = incremental.silver_table(spark, path, kind)
         assert rows(table) == rows(batch)
         assert not any(".json" in f for f in table.inputFiles())
-        owners = incremental._owners(spark, path)
+        owners = buckets.owners(spark, path)
         assert {b for b, run in owners.items() if run == f"run{k}"} == set(done["buckets"])
     assert 0 < len(done["buckets"]) < 8  # the last arrival left other buckets alone
     assert incremental.refresh(spark, str(folder), glob, path, "run9", kind) == {"files": [], "buckets": []}
@@ -89,11 +89,11 @@ def test_silver_reads_new_files_only(spark, tmp_path, kind, pulls, process):
 def test_second_run_plans_no_old_file(spark, tmp_path, monkeypatch):
     folder, path = tmp_path / "in", str(tmp_path / "table")
     land(folder, "posts_1.json", POST_PULLS["posts_2.json"], False)
-    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, buckets=8)
+    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, n_buckets=8)
     seen, read = [], incremental.json_batches.read_json_files
     monkeypatch.setattr(incremental.json_batches, "read_json_files", lambda *a: seen.append(read(*a)) or seen[-1])
     land(folder, "posts_2.json", POST_PULLS["posts_3.json"], False)
-    incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, buckets=8)
+    incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, n_buckets=8)
     assert [f.rsplit("/", 1)[1] for df in seen for f in df.inputFiles()] == ["posts_2.json"]
     with pytest.raises(ValueError, match="committed already"):
         incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS)
@@ -102,15 +102,15 @@ def test_second_run_plans_no_old_file(spark, tmp_path, monkeypatch):
 def test_copies_rewrite_no_bucket(spark, tmp_path):
     folder, path = tmp_path / "in", str(tmp_path / "table")
     land(folder, "posts_1.json", POST_PULLS["posts_2.json"], False)
-    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, buckets=8)
+    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, n_buckets=8)
     land(folder, "posts_2.json", POST_PULLS["posts_2.json"], False)
-    assert incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, buckets=8)["buckets"] == []
+    assert incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, n_buckets=8)["buckets"] == []
 
 
 def test_a_failed_run_leaves_the_table_and_is_made_up_for(spark, tmp_path, monkeypatch):
     folder, path = tmp_path / "in", str(tmp_path / "table")
     land(folder, "posts_1.json", POST_PULLS["posts_2.json"], False)
-    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, buckets=8)
+    incremental.refresh(spark, str(folder), "posts_*.json", path, "run0", POSTS, n_buckets=8)
     before = rows(incremental.silver_table(spark, path, POSTS))
     land(folder, "posts_2.json", POST_PULLS["posts_3.json"], False)
 
@@ -120,9 +120,9 @@ def test_a_failed_run_leaves_the_table_and_is_made_up_for(spark, tmp_path, monke
     with monkeypatch.context() as broken:
         broken.setattr(runs, "write_run", fail)
         with pytest.raises(RuntimeError):
-            incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, buckets=8)
+            incremental.refresh(spark, str(folder), "posts_*.json", path, "run1", POSTS, n_buckets=8)
     assert rows(incremental.silver_table(spark, path, POSTS)) == before
-    incremental.refresh(spark, str(folder), "posts_*.json", path, "run2", POSTS, buckets=8)
+    incremental.refresh(spark, str(folder), "posts_*.json", path, "run2", POSTS, n_buckets=8)
     batch = silver.process_posts(read_json_batches(spark, str(folder), "posts_*.json", POSTS.schema))
     assert rows(incremental.silver_table(spark, path, POSTS)) == rows(batch)
 
