@@ -66,6 +66,59 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+ESCAPED = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+#: What the listing says of a document. A link is a digest of the text, so that copies repeat it.
+NEWS = {
+    "link": "CASE WHEN doc_id % 19 = 3 THEN '' ELSE concat('https://news.example/', md5(text)) END",
+    "name": "CASE WHEN doc_id % 4 IN (0, 3) THEN concat('Autor ', lang, ' ', source) ELSE '' END",
+    "stamp": "CASE WHEN doc_id % 3 = 0 THEN concat('2026-04-', lpad({day}, 2, '0'), 'T21:47:13-05:00') WHEN doc_id % 3 = 1 THEN 'ayer' ELSE '' END",
+}
+
+
+def _news(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("heading", F.expr("CASE WHEN doc_id % 23 = 4 THEN ' ' ELSE substring_index(text, '\n', 1) END"))
+    news = {k: v.format(day="cast(doc_id % 28 + 1 AS string)") for k, v in NEWS.items()}
+    return docs.selectExpr("doc_id", "doc_id div 10 + 1 AS page", "lang", "source", "text", f"{ESCAPED.format('heading')} AS heading",
+                           f"{ESCAPED.format('text')} AS body", *(f"{v} AS {k}" for k, v in news.items()))
+
+
+def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings of ten documents in the page template: items without the post mark, without link or
+    title, authors under another class, dates as attribute, as text or missing, and three kinds of
+    next links."""
+    item = """concat('<article class="post tag-', lang, ' x tag-', source, '-y"', CASE WHEN doc_id % 17 = 5 THEN '' ELSE concat(' data-post-id="', doc_id, '"') END,
+        '><h2 class="entry-title"><a href=" ', link, ' "> ', heading, '</a></h2>',
+        CASE doc_id % 4 WHEN 1 THEN '' WHEN 2 THEN '<span class="vcard author"><a>Otro</a></span>'
+          ELSE concat('<span class="author vcard"><a href="/x"> ', name, '</a></span>') END,
+        CASE doc_id % 3 WHEN 0 THEN concat('<time class="entry-date" datetime="', stamp, '">abril</time>')
+          WHEN 1 THEN concat('<time class="entry-date"> ', stamp, ' </time>') ELSE '' END,
+        CASE WHEN doc_id % 5 = 0 THEN '' ELSE concat('<div class="entry-wrapper"><p> ', body, '</p><p>otro</p></div>') END, '</article>')"""
+    pages = _news(spark, sf).selectExpr("page", "doc_id", f"{item} AS item").groupBy("page").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "item"))), lambda x: x["item"]), "\n").alias("items"))
+    more = """CASE page % 3 WHEN 0 THEN '<div class="nav-links"><a class="next page-numbers" href="/x">&raquo;</a></div>'
+        WHEN 1 THEN '<nav class="pagination"><a class="prev">1</a></nav>' ELSE '<a class="page-numbers next" href="/x">mas</a>' END"""
+    rel = "CASE WHEN page % 4 = 1 THEN concat('<a rel=\"next\" href=\"/siguiente/', page, '\">x</a>') ELSE '' END"
+    return pages.selectExpr("page", f"concat('<html><body>', items, {more}, {rel}, '</body></html>') AS html")
+
+
+def article_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The page of every link of the listing, one a link: a paragraph for each line, and tags, some
+    of them twice or blank."""
+    lines = "transform(split(body, '\n'), x -> concat('<p>', x, '</p>'))"
+    tags = """CASE WHEN length(text) % 3 = 0 THEN '' ELSE concat('<a rel="tag">', lang, '</a><a rel="nofollow tag"> de ', lang, ' </a><a rel="tag">',
+        lang, '</a><a rel="tag"> </a>') END"""
+    pages = _news(spark, sf).where("link <> ''").dropDuplicates(["link"])
+    return pages.selectExpr("link AS url", f"concat('<article><div class=\"post entry-content\">', array_join({lines}, ''), '</div>', {tags}, '</article>') AS html")
+
+
+def card_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A card for each document, in a template of its own kind."""
+    return _news(spark, sf).selectExpr("doc_id", """concat('<article><h3>', heading, '</h3>',
+        CASE WHEN link = '' THEN '' ELSE concat('<a href="', CASE WHEN doc_id % 2 = 0 THEN link ELSE concat('/n/', doc_id) END, '">mas</a>') END,
+        '<div class="byline">', name, '</div>', CASE doc_id % 3 WHEN 0 THEN concat('<time datetime="', stamp, '">abril</time>')
+          WHEN 1 THEN concat('<time datetime=""> ', stamp, ' </time>') ELSE '' END, '<p>', body, '</p></article>') AS html""")
+
+
 def raw_articles(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations").selectExpr(
         "substring_index(text, '\\n', 1) AS titulo",
@@ -163,6 +216,15 @@ CTES = {
         'https://articles.example/' || md5(text) AS url,
         substr(text, 1, 300) AS extracto, CAST(NULL AS VARCHAR) AS etiquetas, text AS contenido, 'chat' AS fuente,
         'articles_' || (conv_id % 5) || '.json' AS source_file, conv_id * 1000 + turn AS pos FROM conversations""",
+    "news": f"""SELECT doc_id, doc_id // 10 + 1 AS page, doc_id % 10 AS item, lang, source, text,
+        CASE WHEN doc_id % 23 = 4 THEN '' ELSE trim(split_part(text, chr(10), 1), {WS}) END AS heading,
+        {", ".join(f"{v.format(day='CAST(doc_id % 28 + 1 AS VARCHAR)')} AS {k}" for k, v in NEWS.items())} FROM documents""",
+    "listed": f"""SELECT page, row_number() OVER (PARTITION BY page ORDER BY item) - 1 AS item_pos, link, heading, name, stamp, lang, source, text,
+        CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(trim(text, {WS}), 1, 300) END AS excerpt FROM news WHERE doc_id % 17 <> 5""",
+    "linked": """SELECT * FROM (SELECT * FROM listed WHERE link <> '' QUALIFY row_number() OVER (PARTITION BY link ORDER BY page, item_pos) = 1)
+        WHERE heading <> ''""",
+    "details": f"""SELECT DISTINCT link AS url, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, {WS})),
+        lambda x: x <> ''), ' ') AS contenido, length(text) % 3 = 0 AS untagged FROM news WHERE link <> ''""",
     # The instant in UTC: local time plus five hours.
     "dated_articles": """SELECT * REPLACE (TRY_CAST(replace(fecha, '-05:00', '') AS TIMESTAMP) + INTERVAL 5 HOUR AS fecha)
         FROM raw_articles""",

@@ -365,6 +365,30 @@ NAV_TAGS = f"""(SELECT page_id, string_agg(title, ', ' ORDER BY item_pos) AS tag
 
 add("extract_listing", lambda s, d: _cards(s, d).select("page_id", F.col("item_pos").cast("bigint"), "title", "url"),
     f"SELECT page_id, CAST(item_pos AS BIGINT) AS item_pos, title, url FROM {CARDS} WHERE url <> ''")
+add("listing_pages",
+    lambda s, d: digest(pages.extract_listing(i.listing_pages(s, d), keep=["page"]).withColumn("item_pos", F.col("item_pos").cast("bigint")), "excerpt"),
+    """SELECT page, item_pos, heading AS title, link AS url, name AS author, stamp AS date, md5(excerpt) AS excerpt,
+        lang || ', ' || source || ' y' AS tags FROM listed WHERE link <> ''""")
+add("listing_next",
+    lambda s, d: pages.next_page(i.listing_pages(s, d), HOST + "/opinion/", "page", host=HOST, keep=["page"]),
+    f"""SELECT DISTINCT page, page % 3 <> 1 AS has_next, CASE WHEN page % 4 = 1 THEN '{HOST}/siguiente/' || page
+        ELSE '{HOST}/opinion/page/' || (page + 1) || '/' END AS next_url FROM news""")
+add("article_pages", lambda s, d: digest(pages.extract_detail(i.article_pages(s, d), keep=["url"]), "body"),
+    """SELECT DISTINCT url, md5(contenido) AS body, CASE WHEN untagged THEN '' ELSE lang || ', de ' || lang END AS tags
+        FROM details JOIN (SELECT link AS url, any_value(lang) AS lang FROM news GROUP BY link) USING (url)""")
+add("bronze_articles",
+    lambda s, d: digest(bronze_plans.articles_from_html(i.listing_pages(s, d), i.article_pages(s, d), "news", RUNS[0], ["page"]), "extracto", "contenido"),
+    f"""SELECT heading AS titulo, name AS autor, stamp AS fecha, link AS url,
+        md5(CASE WHEN excerpt = '' THEN substr(contenido, 1, 300) ELSE excerpt END) AS extracto,
+        CASE WHEN untagged THEN l.lang || ', ' || source || ' y' ELSE l.lang || ', de ' || l.lang END AS etiquetas,
+        md5(contenido) AS contenido, 'news' AS fuente, '{RUNS[0]}' AS ingested_at FROM linked l JOIN details ON url = link""")
+add("card_pages",
+    lambda s, d: digest(pages.extract_cards(i.card_pages(s, d), keep=["doc_id"], host=HOST), "title", "excerpt"),
+    f"""SELECT doc_id, 0 AS item_pos, md5(title) AS title, name AS author, stamp AS date,
+        CASE WHEN link = '' THEN '' WHEN doc_id % 2 = 0 THEN link ELSE '{HOST}/n/' || doc_id END AS url,
+        md5(CASE WHEN length(p) > 20 THEN substr(p, 1, 300) ELSE '' END) AS excerpt FROM (SELECT *,
+          trim(regexp_replace(heading, '[ \t\r\n\f]+', ' ', 'g'), {i.WS}) AS title,
+          trim(regexp_replace(text, '[ \t\r\n\f]+', ' ', 'g'), {i.WS}) AS p FROM news) WHERE title <> ''""")
 add("first_seen_url",
     lambda s, d: bronze.first_seen_url(_cards(s, d), ["page_id", "item_pos"]).select(
         "page_id", F.col("item_pos").cast("bigint"), "title", "url"),
@@ -389,15 +413,32 @@ add("selector_fallback",
     lambda s, d: digest(pages.article_fields(i.table(s, d, "pages"), keep=["page_id"], fields=ARTICLE), "body"),
     f"""SELECT p.page_id, md5(CASE WHEN length(body) > 100 THEN body ELSE '' END) AS body, coalesce(n.tags, '') AS tags
         FROM (SELECT page_id, {LAID_OUT} AS body FROM pages) p LEFT JOIN {NAV_TAGS} n ON p.page_id = n.page_id""")
-add("heading_cards",
-    lambda s, d: pages.extract_cards(i.table(s, d, "pages"), keep=["page_id"], host=HOST).select(
-        "page_id", "item_pos", "title", "author", "date", "url", F.md5(F.regexp_replace("excerpt", r"\s+", " ")).alias("excerpt")),
+#: Pages made from documents stand beside those of the table, under numbers of their own.
+MADE = 1_000_000_000
+
+
+def _pages_and(spark, sf, made, number):
+    both = made.select((F.lit(MADE) + F.col(number)).cast("bigint").alias("page_id"), "html")
+    return i.table(spark, sf, "pages").select("page_id", "html").unionByName(both)
+
+
+def heading_cards(spark, sf):
+    cards = pages.extract_cards(_pages_and(spark, sf, i.card_pages(spark, sf), "doc_id"), keep=["page_id"], host=HOST)
+    return cards.select("page_id", "item_pos", "title", "author", "date", "url", F.md5(F.regexp_replace("excerpt", r"\s+", " ")).alias("excerpt"))
+
+
+# The cards of made pages; their excerpts are compared in `card_pages`.
+add("heading_cards", heading_cards,
     f"""SELECT page_id, CAST(0 AS INTEGER) AS item_pos,
         trim({unescaped("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}, {i.WS}) AS title,
         '' AS author, '' AS date, '' AS url,
         md5(CASE WHEN length(p) > 20 THEN substr(p, 1, 300) ELSE '' END) AS excerpt FROM
         (SELECT page_id, html, trim({unescaped(f"regexp_replace(regexp_extract({BODY}, '(?s)<p>(.*?)(</?p>|$)', 1), '<[^>]*>', '', 'g')")},
-         {i.WS}) AS p FROM pages)""")
+         {i.WS}) AS p FROM pages) UNION ALL
+    SELECT {MADE} + doc_id, 0, trim(regexp_replace(heading, '[ \\t\\r\\n\\f]+', ' ', 'g'), {i.WS}), name, stamp,
+        CASE WHEN link = '' THEN '' WHEN doc_id % 2 = 0 THEN link ELSE '{HOST}/n/' || doc_id END,
+        md5(CASE WHEN length(p) > 20 THEN substr(p, 1, 300) ELSE '' END)
+        FROM (SELECT *, trim(regexp_replace(text, '[ \\t\\r\\n\\f]+', ' ', 'g'), {i.WS}) AS p FROM news) WHERE heading <> ''""")
 add("absolute_url",
     lambda s, d: i.table(s, d, "pages").select("page_id", t.absolute_url("url", HOST).alias("url"),
                                                t.absolute_url(F.concat(F.lit("/p/"), "page_id"), HOST).alias("short")),
@@ -423,8 +464,10 @@ add("enrich_detail", enrich_detail, """
         md5(CASE WHEN l.extracto <> '' THEN l.extracto ELSE coalesce(substr(d.contenido, 1, 300), '') END) AS extracto,
         md5(coalesce(d.contenido, '')) AS contenido FROM listing l LEFT JOIN detail d ON l.url = d.url""")
 add("next_page",
-    lambda s, d: pages.next_page(i.table(s, d, "pages"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
-    f"SELECT page_id, false AS has_next, '{HOST}/opinion/page/' || (page_id + 1) || '/' AS next_url FROM pages")
+    lambda s, d: pages.next_page(_pages_and(s, d, i.listing_pages(s, d), "page"), HOST + "/opinion/", "page_id", host=HOST, keep=["page_id"]),
+    f"""SELECT page_id, false AS has_next, '{HOST}/opinion/page/' || (page_id + 1) || '/' AS next_url FROM pages UNION ALL
+        SELECT DISTINCT {MADE} + page, page % 3 <> 1, CASE WHEN page % 4 = 1 THEN '{HOST}/siguiente/' || page
+          ELSE '{HOST}/opinion/page/' || ({MADE} + page + 1) || '/' END FROM news""")
 
 
 def _records(spark, sf):

@@ -1,4 +1,5 @@
 import os
+import sys
 
 import pytest
 
@@ -24,6 +25,15 @@ def test_entry(spark):
     assert df.columns == ["day", "source", "avg_polarity", "record_count", "polarity_ma_7d"] and df.count() > 0
 
 
+def test_other_queries_are_there_without_the_optional_imports(monkeypatch):
+    import __spark_entry__
+
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("tertulia.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    assert __spark_entry__._optional() == ({}, {}) and len(__spark_entry__.QUERIES) > 100
+
+
 @pytest.mark.parametrize("key", list(queries()))
 def test_query_equals_its_sql(spark, con, key):
     from check import compare
