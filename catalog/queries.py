@@ -20,7 +20,7 @@ from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_number, to_scor
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
 from tertulia.operators.dedup import keep_first
 from tertulia.plans import bronze as bronze_plans
-from tertulia.plans import gold, incremental, incremental_marts, silver as silver_plans
+from tertulia.plans import gold, governance_state, incremental, incremental_marts, silver as silver_plans
 from tertulia.plans.kinds import ARTICLES, POSTS
 from tertulia.sources import json_arrays, json_batches, runs, snapshots
 from tertulia.sources.shared import shared_folder, written
@@ -552,6 +552,21 @@ def governance(spark, sf):
     }, "20240201_000000")
 
 
+def governance_by_state(spark, sf):
+    """The same figures from what two runs left, without their rows; the median is an estimate."""
+    path = shared_folder(spark, "governance")
+    posts, articles = i.posts(spark, sf), i.articles(spark, sf)
+    for run, late in zip(RUNS, (False, True)):
+        some = (F.xxhash64("url") % 3 == 0) == late
+        governance_state.add_run([
+            governance_state.state_row(posts.where(some), "posts"),
+            governance_state.state_row(articles.where(some), "articles", ("titulo", "autor", "contenido", "url"), None, "contenido")], path, run)
+    return plain(governance_state.governance(spark, path, "20240201_000000").drop("score_median"), score_mean=6, title_len_mean=6)
+
+
+add("governance_by_state", governance_by_state,
+    """SELECT * EXCLUDE (score_median) REPLACE (round(score_mean, 6) AS score_mean, round(title_len_mean, 6) AS title_len_mean,
+        CAST(score_min AS BIGINT) AS score_min, CAST(score_max AS BIGINT) AS score_max) FROM governance""")
 add("total_records", lambda s, d: quality.total_records(i.posts(s, d)), "SELECT count(*) AS total_records FROM posts")
 add("null_rates", lambda s, d: quality.null_rates(i.posts(s, d)),
     "SELECT null_rate_title, null_rate_author, null_rate_text, null_rate_url FROM governance WHERE source = 'posts'")

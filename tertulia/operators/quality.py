@@ -12,7 +12,7 @@ from tertulia.operators.quantiles import exact_quantiles
 FIELDS = ("title", "author", "text", "url")
 
 
-def _percent(part: Column, total: Column) -> Column:
+def percent(part: Column, total: Column) -> Column:
     return F.coalesce(F.bround(F.try_divide(part * F.lit(100.0), total), 2), F.lit(0.0))
 
 
@@ -32,12 +32,12 @@ def total_records(df: DataFrame) -> DataFrame:
 def null_rates(df: DataFrame, columns: Sequence[str] = FIELDS, names: Sequence[str] = FIELDS) -> DataFrame:
     """Percent of null or empty values per column, in one pass."""
     total = F.count(F.lit(1))
-    return df.agg(*[_percent(_missing(c), total).alias(f"null_rate_{n}") for c, n in zip(columns, names)])
+    return df.agg(*[percent(_missing(c), total).alias(f"null_rate_{n}") for c, n in zip(columns, names)])
 
 
 def duplicate_rate(df: DataFrame, key: str = "url") -> DataFrame:
     total = F.count(F.lit(1))
-    return df.agg(_percent(total - _distinct_keys(key), total).alias("duplicate_rate"))
+    return df.agg(percent(total - _distinct_keys(key), total).alias("duplicate_rate"))
 
 
 def score_stats(df: DataFrame, score: str = "score") -> DataFrame:
@@ -80,8 +80,8 @@ def governance_row(
     url = columns[3]
     figures = [
         total.alias("total_records"),
-        *[_percent(_missing(c), total).alias(f"null_rate_{f}") for c, f in zip(columns, FIELDS)],
-        _percent(total - _distinct_keys(url), total).alias("duplicate_rate"),
+        *[percent(_missing(c), total).alias(f"null_rate_{f}") for c, f in zip(columns, FIELDS)],
+        percent(total - _distinct_keys(url), total).alias("duplicate_rate"),
         (F.coalesce(F.avg(score), F.lit(0.0)) if score else F.lit(0.0)).alias("score_mean"),
         *[(F.coalesce(f(score).cast("bigint"), F.lit(0)) if score else F.lit(0).cast("bigint")).alias(name)
           for f, name in ((F.min, "score_min"), (F.max, "score_max"))],
@@ -163,7 +163,7 @@ def null_profile(df: DataFrame) -> DataFrame:
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns],
     )
     return counts.unpivot("_total", list(df.columns), "column", "null_count").select(
-        "column", "null_count", _percent(F.col("null_count"), F.col("_total")).alias("null_percent"))
+        "column", "null_count", percent(F.col("null_count"), F.col("_total")).alias("null_percent"))
 
 
 def describe_lengths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -197,7 +197,7 @@ def iqr_report(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
         )
         .select(b["q1"].alias("q1"), b["q3"].alias("q3"), (b["q3"] - b["q1"]).alias("iqr"),
                 b["lower"].alias("lower"), b["upper"].alias("upper"), "outliers",
-                _percent(F.col("outliers"), F.col("_total")).alias("outlier_percent"))
+                percent(F.col("outliers"), F.col("_total")).alias("outlier_percent"))
     )
 
 
@@ -235,4 +235,4 @@ def duplicate_report(df: DataFrame, key: str = "url") -> DataFrame:
     """Rows that repeat an earlier key, and their percent."""
     total = F.count(F.lit(1))
     repeats = total - _distinct_keys(key)
-    return df.agg(repeats.alias("duplicates"), _percent(repeats, total).alias("duplicate_percent"))
+    return df.agg(repeats.alias("duplicates"), percent(repeats, total).alias("duplicate_percent"))
