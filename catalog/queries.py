@@ -18,7 +18,7 @@ from catalog import inputs as i
 from tertulia.functions import text as t
 from tertulia.functions.dates import epoch_to_ts, iso_to_utc, to_number, to_score
 from tertulia.operators import analytics, bronze, corpus, marts, pages, quality, silver
-from tertulia.operators.dedup import keep_first
+from tertulia.operators.dedup import keep_first, keep_first_late
 from tertulia.plans import bronze as bronze_plans
 from tertulia.plans import gold, governance_state, incremental, incremental_marts, silver as silver_plans
 from tertulia.plans.kinds import ARTICLES, POSTS
@@ -497,6 +497,9 @@ add("scraped_batch_clean",
 add("dedup_first",
     lambda s, d: digest(keep_first(i.raw_posts(s, d), ["url", "title"], ["source_file", "pos"]), "text"),
     "SELECT * REPLACE (md5(text) AS text) FROM first_posts")
+add("dedup_first_late",
+    lambda s, d: digest(keep_first_late(written(i.raw_posts(s, d), "raw_posts"), ["url", "title"], ["source_file", "pos"]), "text"),
+    "SELECT * REPLACE (md5(text) AS text) FROM first_posts")
 add("coerce_numeric",
     lambda s, d: i.raw_posts(s, d).select("pos", to_number("score").alias("number"), to_score("score").alias("score")),
     """SELECT pos, TRY_CAST(score AS DOUBLE) AS number,
