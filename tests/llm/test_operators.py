@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -370,3 +372,20 @@ def test_line_dedup_is_not_at_the_edge_for_a_line_on_a_tenth_of_the_pages(spark)
             for host, n in often.items() for k in range(200)]
     kept = line_dedup.without_boilerplate(spark.createDataFrame(made, "doc_id long, text string, source string")).collect()
     assert sum("Read more" in r.text for r in kept) == 0 and sum("Hm." in r.text for r in kept) == 12
+
+
+def _plain_cut(page):
+    """The article of a page of the tables by plain substitutions, without lines or windows."""
+    body = re.search(r"<article\b[^>]*>(.*)</article>", page, re.S)[1]
+    body = re.sub(r"<!--.*?-->", "", body, flags=re.S)
+    body = re.sub(r"<(script|style|noscript|nav|aside|form|footer)\b[^>]*>.*?</\1>", "<br>", body, flags=re.S)
+    blocks = re.split(r"</?(?:p|div|h[1-6]|ul|ol|li|table|tr|td|th|blockquote|section|article|br|pre)\b[^>]*>", body)
+    texts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks)
+    return "\n".join(t for t in texts if t)
+
+
+def test_extraction_equals_a_plain_cut_of_every_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    out = {r.page_id: (r.text, r.n_chars) for r in html_text.op10(pages).collect()}
+    plain = {r.page_id: _plain_cut(r.html) for r in pages.collect()}
+    assert len(out) == 250 and out == {k: (t, len(t)) for k, t in plain.items()}
