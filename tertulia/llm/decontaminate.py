@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tertulia.llm.rows import spare
 from tertulia.llm.words import PLAIN, Words, bounded_batches, mix, pieces, split
@@ -238,7 +239,9 @@ def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: i
     spark = docs.sparkSession
     bounded_batches(spark)
     patterns = written(item_windows(benchmark, size).select("pattern").distinct(), "patterns")
-    body, schema = spare(docs.columns, "body"), docs.schema
+    schema = docs.schema
+    plain = schema["text"].dataType == StringType()  # else searched as a string beside itself
+    body = "text" if plain else spare(docs.columns, "body")
     kept = docs
 
     def without(tables):
@@ -250,7 +253,8 @@ def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: i
                 clean[np.searchsorted(words.docs, firsts, "right") - 1] = False
                 yield rows.filter(pa.array(clean)).select(schema.names)
 
-        return kept.withColumn(body, F.col("text").cast("string")).mapInArrow(search, schema)
+        rows = kept if plain else kept.withColumn(body, F.col("text").cast("string"))
+        return rows.mapInArrow(search, schema)
 
     last = None
     for each in _blocks(patterns, block):
