@@ -175,14 +175,11 @@ def with_verdict(docs: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def passing(docs: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """The documents, with all their columns, that pass. The measures are taken twice, once for
-    the references and once for the verdict, so that no text is shuffled."""
-    known = references(_written_measures(docs, rules), "lang", rules)
-    out = judged(measured(docs.withColumn("_q_own", F.col("text")), "_q_own", rules), known, rules)
-    # A filter on plain columns would be pushed below the steps, where every array it names is
-    # built anew for each use; one on a column that may differ by row position stays above.
-    kept = out.withColumn("_q_kept", F.col("_q_kept") & (F.monotonically_increasing_id() >= 0)).where("_q_kept")
-    return kept.select(*docs.columns)
+    """The documents, with all their columns, that pass. Every text is measured once: the
+    documents are written beside their measures, which the references and the verdict read."""
+    rows = measured(docs.withColumn("_q_own", F.col("text")), "_q_own", rules).select(*docs.columns, *MEASURES)
+    rows = written(rows, "measured")
+    return judged(rows, references(rows, "lang", rules), rules).where("_q_kept").select(*docs.columns)
 
 
 def op6(docs: DataFrame) -> DataFrame:
