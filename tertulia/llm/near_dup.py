@@ -45,6 +45,9 @@ PERCENT = 75
 #: What is left around a center, up to so many members and shingles, is compared within one task.
 SMALL = 3000
 SMALL_SHINGLES = 1_000_000
+#: Members and shingles whose intersections one product gives: some 25 MB at `SMALL` members.
+ROWS_AT_ONCE = 512
+COLUMNS_AT_ONCE = 1024
 
 _rng = np.random.default_rng(20240607)
 _XOR = _rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
@@ -237,16 +240,19 @@ def _alike(sets: list[np.ndarray], root: np.ndarray) -> Iterator[tuple[int, int]
     column = (np.cumsum(twice) - 1)[group]
     keep = twice[group]
     owner, column = owner[keep], column[keep]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(twice.sum()), 2048):
-        a, b = np.searchsorted(column, [low, low + 2048])
-        held = np.zeros((len(sets), 2048), np.float32)
-        held[owner[a:b], column[a:b] - low] = 1
-        both += held @ held.T
-    for i in range(1, len(sets)):
-        row = both[i, :i].astype(np.int64)
-        for j in np.flatnonzero((100 * row >= PERCENT * (n[i] + n[:i] - row)) & (root[:i] != root[i])):
-            yield i, int(j)
+    for first in range(0, len(sets), ROWS_AT_ONCE):
+        last = min(first + ROWS_AT_ONCE, len(sets))
+        both = np.zeros((last - first, last), np.float32)
+        for low in range(0, int(twice.sum()), COLUMNS_AT_ONCE):
+            a, b = np.searchsorted(column, [low, low + COLUMNS_AT_ONCE])
+            mine, place = owner[a:b], column[a:b] - low
+            held = np.zeros((last, COLUMNS_AT_ONCE), np.float32)
+            held[mine[mine < last], place[mine < last]] = 1
+            both += held[first:] @ held.T
+        for i in range(max(first, 1), last):
+            row = both[i - first, :i].astype(np.int64)
+            for j in np.flatnonzero((100 * row >= PERCENT * (n[i] + n[:i] - row)) & (root[:i] != root[i])):
+                yield i, int(j)
 
 
 def _within(left: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
