@@ -116,10 +116,6 @@ def placed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
                        F.filter(F.array(*copies), lambda c: c["words"] > 0).alias("copies"))
 
 
-def _taken() -> Column:
-    return F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
-
-
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, schedules: dict = SCHEDULES) -> DataFrame:
     """What the mix takes: a row for each copy of a document, with all its columns, range-sorted
     by the copy's own `mix_position`, with `mix_copy` (from 0) and `mix_taken` (words of it).
@@ -137,9 +133,19 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
 
 
 def op9(docs: DataFrame) -> DataFrame:
-    return placed(docs).select(
-        "doc_id", "size", "source_size", "target", _taken().alias("taken"),
-        F.round(F.get("copies", F.lit(0))["position"], 6).alias("first_position"))
+    """What the mix takes of each document, read from its copies in training order: they are range-sorted
+    by position over all sources and numbered. Rows leave in the order of their first copy, those
+    without one last."""
+    plan = written(placed(docs.withColumn("row", F.monotonically_increasing_id()), WEIGHTS, MOST, SCHEDULES, "row"), "plan")
+    copies = plan.select("row", "doc_id", F.explode("copies").alias("c")).select("row", "doc_id", "c.copy", "c.words", "c.position")
+    ordered = numbered(copies, [F.col("position"), F.col("doc_id"), F.col("copy"), F.col("row")], "nth")
+    drawn = ordered.groupBy(F.col("row").alias("of")).agg(
+        F.sum("words").alias("words"), F.min("nth").alias("nth"), F.min_by("position", "nth").alias("position"))
+    out = plan.drop("copies").join(drawn, F.col("row") == F.col("of"), "left")
+    order = [F.col("nth").asc_nulls_last(), F.col("row")]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+        F.round("position", 6).alias("first_position"))
 
 
 def _due_sql(share: str, knots: tuple[tuple[float, float], ...]) -> str:

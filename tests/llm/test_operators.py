@@ -389,3 +389,17 @@ def test_extraction_equals_a_plain_cut_of_every_page(spark):
     out = {r.page_id: (r.text, r.n_chars) for r in html_text.op10(pages).collect()}
     plain = {r.page_id: _plain_cut(r.html) for r in pages.collect()}
     assert len(out) == 250 and out == {k: (t, len(t)) for k, t in plain.items()}
+
+
+def test_mixing_rows_stand_in_training_order(spark):
+    r = random.Random(7)
+    made = [(k, "w " * r.randint(0, 40), r.choice(["a", "b", "b", "b", "c"])) for k in range(200)]
+    df = spark.createDataFrame(made, "doc_id long, text string, source string").repartition(3)
+    out = mixing.op9(df).collect()
+    first = {}
+    for x in mixing.mixed(df).collect():
+        first.setdefault(x.doc_id, x.mix_position)
+    drawn = [x for x in out if x.taken > 0]
+    assert out[:len(drawn)] == drawn and len(out) == 200  # those without a copy come last
+    assert {x.doc_id: x.first_position for x in drawn} == {d: pytest.approx(p, abs=1e-6) for d, p in first.items()}
+    assert [(first[x.doc_id], x.doc_id) for x in drawn] == sorted((first[x.doc_id], x.doc_id) for x in drawn)
