@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +53,22 @@ def test_small_and_empty(spark, monkeypatch):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",), (None,)], "word string")
     assert got(df, ["word"], 2) == [("a", 2), ("b", 2)] and got(df, ["word"], 9)[2:] == [(None, 1), ("c", 1)]
     assert got(df.limit(0), ["word"], 3) == []
+
+
+def test_sums_are_not_taken_again_for_every_batch(monkeypatch):
+    """With more groups in a task than FOLD_ROWS, the rows summed up stay in proportion to those that came."""
+    summed, fold = [], topk._folded
+    monkeypatch.setattr(topk, "_folded", lambda parts, by: summed.append(sum(map(len, parts))) or fold(parts, by))
+    batches = (pa.table({"word": [f"w{k}" for k in range(b * 10, b * 10 + 10)] + ["all"]}) for b in range(400))
+    found = topk.gathered(batches, ["word"], 50)
+    assert sum(summed) < 4 * 4400 and len(found) == 4001
+    assert {r["word"]: r["n"] for r in found.to_pylist() if r["n"] > 1} == {"all": 400}
+
+
+def test_words_of_texts(spark):
+    r = random.Random(3)
+    texts = [(" ".join(r.choice(["", "añoñ", "año", "long", "words here", "x" * 70]) for _ in range(r.randint(0, 30))), r.choice(["a", None])) for _ in range(3000)]
+    df = spark.createDataFrame([*texts, (None, "a")], "word string, source string").repartition(5)
+    words = df.select(F.explode(F.split("word", " ")).alias("word"), "source").where(F.length("word") >= 4)
+    found = topk.top_counts(df, ["word", "source"], 7, words="word", min_chars=4)
+    assert [tuple(r) for r in found.collect()] == full(words, ["word", "source"], 7)
