@@ -37,3 +37,13 @@ def test_lexicons_are_parameters(spark):
     assert score(spark, "x y y", positive=["x"], negative=["y"]) == ("negative", -0.3333)
     assert score(spark, "x y", positive=["x", "y"], negative=["y"]) == ("positive", 0.3333)
     assert score(spark, "x", positive=[], negative=[]) == ("neutral", 0.0)
+
+
+def test_a_filter_on_labels_does_not_score_texts_again(spark):
+    from tertulia.operators import analytics, marts
+
+    df = spark.createDataFrame([("a", "bueno x"), ("a", "malo"), ("b", "x"), ("b", None)], "source string, text string")
+    dist = marts.sentiment_dist(with_sentiment(df, "text"))
+    for out in (analytics.normalize_label(dist), analytics.overall_sentiment(dist)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted(map(tuple, analytics.normalize_label(dist).collect())) == [("a", "negative", 1), ("a", "positive", 1), ("b", "neutral", 2)]
