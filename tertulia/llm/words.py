@@ -14,6 +14,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from tertulia.functions.batches import BATCH_ROWS, bounded_batches  # noqa: F401
+
 #: Words are runs of anything but blank and the controls 0x09 to 0x0D.
 SPACED = np.ones(256, bool)
 SPACED[[0x20, *range(0x09, 0x0E)]] = False
@@ -26,19 +28,10 @@ LOWER[0x41:0x5B] += 0x20
 
 #: Texts are worked on in pieces of about so many bytes, which bounds a worker's memory.
 PIECE_BYTES = 1 << 20
-#: Rows that Spark sends to Python at once; texts may be long.
-BATCH_ROWS = 256
 
 _BASE = 0x9E3779B97F4A7C15
 
 
-def bounded_batches(spark) -> None:
-    """Keep Arrow batches small enough for long texts, unless the session has them smaller."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijection that spreads every bit over all 64."""
     h = h ^ np.uint64(salt)

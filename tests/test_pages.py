@@ -100,3 +100,19 @@ def test_articles_from_html(spark):
     rows = articles_from_html(table(spark, LISTING), details, "news", "20260101_000000", ["page"]).orderBy("url").collect()
     assert [(r.titulo, r.etiquetas, r.contenido, r.extracto[:3]) for r in rows] == [
         ("Unanota& más", "Paz, Ley", "Uno dos tres cuatro cinco", "eee"), ("Ce", "", "", "uno")]
+
+
+def test_pages_are_sent_to_python_few_at_a_time(spark):
+    """Thousands of long pages in one batch would be held at once, with all their fields."""
+    key, df = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.createDataFrame([(1, "<p>x</p>")], "page int, html string")
+    before = spark.conf.get(key)
+    try:
+        for read in (pages.extract_listing, pages.extract_cards, pages.page_errors, pages.article_fields, lambda p: pages.next_page(p, "/x/")):
+            spark.conf.set(key, "10000")
+            read(df)
+            assert int(spark.conf.get(key)) == 256
+        spark.conf.set(key, "7")  # what the session has smaller stays
+        pages.extract_listing(df)
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, before)
