@@ -9,14 +9,12 @@ time with another symbol left open. Every pair within the signature distance mee
 bucket; a pair of similarity 0.75 is missed with a probability of 1e-7.
 
 Buckets are never expanded into pairs. Texts of equal sets are one class first. The members
-of a bucket are compared, on their full sets, with its smallest set c alone. If f falls short
-of the threshold with c and p is no smaller than c, then f and p can only be similar if they
-share shingles outside c: without any, their intersection is at most that of f and c, and
-their union no smaller. So the members of a bucket that is still unconnected are dealt into
-new buckets by shingles outside c (the rarest of them, as many as the missing overlap leaves
-open) and the step repeats; a bucket of at most `SMALL` members is settled at once, each
-member against those of other components. That finds every component, in work that follows
-the number of members, not of pairs.
+of a bucket are compared, on their full sets, with its smallest set alone, which connects most
+of them. Members around one such center that are still of several components are compared with
+one another inside one task, up to `SMALL` of them. Larger groups that share members are one
+family, so that none is compared once for each of its centers. A family is cut into blocks, and
+each pair of blocks is one task's work, a product of 0-1 matrices; members of the largest
+component are compared with those outside it alone. That decides every pair of a bucket.
 
 Null and empty texts have the empty set and are linked with nothing; so are rows of a null
 doc_id, whose component is null and which are kept. A text of fewer than five words is one
@@ -26,12 +24,11 @@ to the smallest doc_id. An empty table gives an empty result. Other columns are
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tertulia.llm.components import components
@@ -42,7 +39,7 @@ SHINGLE = 5
 SYMBOLS = 48
 CHUNK = 4
 PERCENT = 75
-#: What is left around a center, up to so many members and shingles, is compared within one task.
+#: Up to so many members and shingles are compared within one task.
 SMALL = 3000
 SMALL_SHINGLES = 1_000_000
 #: Members and shingles whose intersections one product gives: some 25 MB at `SMALL` members.
@@ -153,24 +150,21 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, schema: str, row) -> DataFrame:
-    """row(set of rep, set of center), a tuple that follows rep and center, for every pair."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, center, whether they are linked and the size of rep's set, for every pair."""
     one = sets.select("rep", F.col("shingles").alias("mine"))
     other = sets.select(F.col("rep").alias("center"), F.col("shingles").alias("theirs"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            found = [row(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+            found = [linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
                      for a, b in zip(rows.column("mine").to_pylist(), rows.column("theirs").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("rep"), rows.column("center"), *(pa.array(c, t) for c, t in zip(zip(*found), types))] if found
-                else [rows.column("rep"), rows.column("center"), *(pa.array([], t) for t in types)],
-                ["rep", "center", *names])
+                [rows.column("rep"), rows.column("center"), pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.int32())],
+                ["rep", "center", "linked", "size"])
 
-    names = [c.split()[0] for c in schema.split(", ")]
-    types = [{"boolean": pa.bool_(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}[c.split()[1]] for c in schema.split(", ")]
     return pairs.join(one, "rep").join(other, "center").select("rep", "center", "mine", "theirs").mapInArrow(
-        compare, f"rep long, center long, {schema}")
+        compare, "rep long, center long, linked boolean, size int")
 
 
 def _overlap(mine: np.ndarray, theirs: np.ndarray) -> int:
@@ -188,48 +182,18 @@ def linked(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tupl
     return 100 * both >= percent * (len(mine) + len(theirs) - both), len(mine)
 
 
-def beyond(mine: np.ndarray, theirs: np.ndarray, percent: int = PERCENT) -> tuple[int, list[int], int]:
-    """Size, shingles outside the center, and how many of them, in any fixed order, must hold one
-    that a similar partner shares.
-
-    A similar partner has an overlap of percent of this set, and, as it is no smaller than
-    the center, of percent / (100 + percent) of both sizes; what the center doesn't give must
-    come from outside it.
-    """
-    outside = np.setdiff1d(mine, theirs, assume_unique=True)
-    total = len(mine) + len(theirs)
-    overlap = max(-(-percent * total // (100 + percent)), -(-percent * len(mine) // 100))
-    needed = overlap - (len(mine) - len(outside))
-    return len(mine), outside.view(np.int64).tolist(), len(outside) - max(needed, 1) + 1
-
-
-def _dealt(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """key, rep and size: members of one center that share a shingle outside it, the rarest
-    first, and are of a size that lets them be similar."""
-    outside = written(_compared(large, sets, "size int, outside array<long>, leading int", beyond).select(
-        "center", "rep", "size", "leading", F.explode("outside").alias("shingle")), "outside")
-    counts = outside.groupBy("center", "shingle").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("center", "rep").orderBy("n", "shingle")
-    # Steps of the threshold: similar sets are of the same or of neighbouring steps.
-    step = F.floor(F.log("size") / -math.log(PERCENT / 100))
-    return (
-        outside.join(counts, ["center", "shingle"]).withColumn("place", F.row_number().over(rarest))
-        .where("place <= leading AND n > 1")
-        .select(F.explode(F.array(step, step + 1)).alias("step"), "center", "shingle", "rep", "size")
-        .select(F.xxhash64("center", "shingle", "step").alias("key"), "rep", "size").distinct())
-
-
-def _unsettled(buckets: DataFrame, label: DataFrame, by: str) -> DataFrame:
-    """Buckets whose members are not of one component yet."""
-    named = buckets.join(label.withColumnRenamed("id", "rep"), "rep", "left")
+def _unsettled(groups: DataFrame, label: DataFrame) -> DataFrame:
+    """Members (rep) of centers around which not all are of one component yet."""
+    named = groups.join(label.withColumnRenamed("id", "rep"), "rep", "left")
     part = F.coalesce("component", "rep")
-    open_ = named.groupBy(by).agg(F.min(part).alias("low"), F.max(part).alias("high")).where("low < high").select(by)
-    return buckets.join(open_, by, "left_semi")
+    open_ = named.groupBy("center").agg(F.min(part).alias("low"), F.max(part).alias("high")).where("low < high").select("center")
+    return groups.join(open_, "center", "left_semi")
 
 
-def _alike(sets: list[np.ndarray], root: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pairs over the threshold of different roots: all intersections of some rows at a time,
-    as products of 0-1 columns of the shingles that two sets or more hold."""
+def _alike(sets: list[np.ndarray], root: np.ndarray, split: int = 0) -> Iterator[tuple[int, int]]:
+    """Pairs over the threshold of different roots, or with `split` those of one of the first so
+    many sets and one of the others: all intersections of some rows at a time, as products of
+    0-1 columns of the shingles that two sets or more hold. Roots may change meanwhile."""
     n = np.array([len(s) for s in sets])
     h = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), n)
@@ -237,55 +201,83 @@ def _alike(sets: list[np.ndarray], root: np.ndarray) -> Iterator[tuple[int, int]
     h, owner = h[order], owner[order]
     group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
     twice = np.bincount(group) > 1
+    if split:
+        held_first = np.bincount(group[owner < split], minlength=len(twice))
+        twice = (held_first > 0) & (held_first < np.bincount(group))
     column = (np.cumsum(twice) - 1)[group]
     keep = twice[group]
     owner, column = owner[keep], column[keep]
-    for first in range(0, len(sets), ROWS_AT_ONCE):
+    for first in range(split, len(sets), ROWS_AT_ONCE):
         last = min(first + ROWS_AT_ONCE, len(sets))
-        both = np.zeros((last - first, last), np.float32)
+        both = np.zeros((last - first, split or last), np.float32)
         for low in range(0, int(twice.sum()), COLUMNS_AT_ONCE):
             a, b = np.searchsorted(column, [low, low + COLUMNS_AT_ONCE])
             mine, place = owner[a:b], column[a:b] - low
             held = np.zeros((last, COLUMNS_AT_ONCE), np.float32)
             held[mine[mine < last], place[mine < last]] = 1
-            both += held[first:] @ held.T
+            both += held[first:] @ held[:split or last].T
         for i in range(max(first, 1), last):
-            row = both[i - first, :i].astype(np.int64)
-            for j in np.flatnonzero((100 * row >= PERCENT * (n[i] + n[:i] - row)) & (root[:i] != root[i])):
+            until = split or i
+            row = both[i - first, :until].astype(np.int64)
+            for j in np.flatnonzero((100 * row >= PERCENT * (n[i] + n[:until] - row)) & (root[:until] != root[i])):
                 yield i, int(j)
 
 
-def _within(left: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
-    """Links (a, b) inside groups of at most `SMALL` members, as many as connect them."""
-    part = F.coalesce("component", "rep").alias("part")
-    members = (
-        left.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", part).join(sets, "rep"))
+def _within(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b), as many as connect them, inside groups (key, low, high) of members rep of a
+    component part and a block: of block low with block high, or all where the two are one."""
 
     def connect(group: pa.Table) -> pa.Table:
+        group = group.sort_by("block")
         reps, root = group.column("rep").to_pylist(), group.column("part").to_numpy().copy()
         shingles = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        split = 0 if low == high else int((group.column("block").to_numpy() == low).sum())
         found = []
-        for i, j in _alike(shingles, root.copy()):
+        for i, j in _alike(shingles, root, split) if low == high or 0 < split < len(reps) else ():
             if root[i] != root[j]:
                 found.append((reps[i], reps[j]))
                 root[root == root[j]] = root[i]
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return members.groupBy("key").applyInArrow(connect, "a long, b long")
+    return left.join(sets, "rep").groupBy("key", "low", "high").applyInArrow(connect, "a long, b long")
 
 
-def _distinct(buckets: DataFrame) -> DataFrame:
-    """One bucket of those that hold the same members."""
-    names = buckets.groupBy("key").agg(
-        F.count("*").alias("n"), *(F.sum(F.xxhash64("rep", F.lit(k)) % (1 << 40)).alias(f"sum{k}") for k in range(2)))
-    return buckets.join(names.groupBy("n", "sum0", "sum1").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+def _blocks(n: str, shingles: str) -> Column:
+    """Blocks for so many members and shingles, two of which are as much as one task compares."""
+    return F.ceil(F.greatest(F.expr(f"2 * {n} / {SMALL}"), F.expr(f"2 * {shingles} / {SMALL_SHINGLES}")))
+
+
+def _block_pairs(large: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of large groups for `_within`: a row for each pair of blocks that a member is
+    compared in. Groups that share members, or whose center is a member, are one family."""
+    family = components(large.select(F.col("rep").alias("a"), F.col("center").alias("b")), "families")
+    members = (
+        large.groupBy("rep").agg(F.max("size").alias("size"))
+        .join(family.select(F.col("id").alias("rep"), F.col("component").alias("family")), "rep")
+        .join(label.withColumnRenamed("id", "rep"), "rep", "left")
+        .select("rep", "size", "family", F.coalesce("component", "rep").alias("part")))
+    members = written(members, "members")
+    parts = members.groupBy("family", "part").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    families = (
+        parts.groupBy("family").agg(F.max(F.struct("n", "shingles", "part")).alias("most"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+        .select("family", F.col("most.part").alias("most"), _blocks("most.n", "most.shingles").alias("first"),
+                F.greatest(_blocks("(n - most.n)", "(shingles - most.shingles)"), F.lit(1)).alias("others")))
+    inside, at = F.col("part") == F.col("most"), F.xxhash64("rep")
+    block = F.when(inside, F.pmod(at, "first")).otherwise(F.col("first") + F.pmod(at, "others"))
+    start = F.when(inside, F.col("first")).otherwise(F.lit(0).cast("bigint"))
+    return (
+        members.join(families, "family")
+        .select(F.col("family").alias("key"), "rep", "part", block.alias("block"),
+                F.explode(F.sequence(start, F.col("first") + F.col("others") - 1)).alias("with"))
+        .select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "part"))
 
 
-def _sized(groups: DataFrame, by: str) -> DataFrame:
+def _sized(groups: DataFrame) -> DataFrame:
     """The groups of two or more members, with whether one task can compare them all."""
-    counts = groups.groupBy(by).agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).where("n > 1")
-    return groups.join(counts.selectExpr(by, f"n <= {SMALL} AND shingles <= {SMALL_SHINGLES} AS small"), by)
+    counts = groups.groupBy("center").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")).where("n > 1")
+    return groups.join(counts.selectExpr("center", f"n <= {SMALL} AND shingles <= {SMALL_SHINGLES} AS small"), "center")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -300,35 +292,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "classes")
     buckets = written(_shared(bucket_keys(classes)), "buckets")
     sets = written(_sets(docs, buckets.select("rep").distinct()), "sets")
-    label = spark.createDataFrame([], "id long, component long")
-    tested = None
-
-    def joined(new: DataFrame) -> DataFrame:
-        """The components with new links (a, b)."""
-        return components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(new))
-
-    while True:
-        centers = buckets.groupBy("key").agg(F.min(F.struct("size", "rep"))["rep"].alias("center"))
-        pairs = buckets.join(centers, "key").where("rep <> center").select("rep", "center").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["rep", "center"], "left_anti")
-        results = written(_compared(pairs, sets, "linked boolean, size int", linked), "compared")
-        if results.isEmpty():
-            break
-        tested = results if tested is None else tested.unionByName(results)
-        label = joined(results.where("linked").select(F.col("rep").alias("a"), F.col("center").alias("b")))
-        # All that was ever compared with a center of this step, where it is not one component.
-        around = tested.join(results.select("center").distinct(), "center", "left_semi").select("rep", "center", "size")
-        left = written(_unsettled(_sized(around, "center"), label, "center"), "unsettled")
-        new = written(_within(left.where("small").withColumnRenamed("center", "key"), sets, label), "within")
-        large = left.where("NOT small").select("rep", "center")
-        if large.isEmpty():
-            label = joined(new)
-            break
-        dealt = written(_dealt(large, sets), "dealt")
-        dealt = written(_sized(_distinct(_unsettled(dealt, label, "key")), "key"), "buckets")
-        label = joined(new.unionByName(written(_within(dealt.where("small"), sets, label), "within")))
-        buckets = dealt.where("NOT small")
+    centers = buckets.groupBy("key").agg(F.min(F.struct("size", "rep"))["rep"].alias("center"))
+    pairs = buckets.join(centers, "key").where("rep <> center").select("rep", "center").distinct()
+    compared = written(_compared(pairs, sets), "compared")
+    links = compared.where("linked").select(F.col("rep").alias("a"), F.col("center").alias("b"))
+    label = components(links)
+    left = written(_unsettled(_sized(compared.select("rep", "center", "size")), label), "unsettled")
+    one = F.lit(0).cast("bigint")
+    small = (
+        left.where("small").join(label.withColumnRenamed("id", "rep"), "rep", "left")
+        .select(F.col("center").alias("key"), one.alias("low"), one.alias("high"), one.alias("block"), "rep", F.coalesce("component", "rep").alias("part")))
+    new = written(_within(small, sets), "within")
+    large = left.where("NOT small").select("rep", "center", "size")
+    if not large.isEmpty():
+        new = new.unionByName(written(_within(_block_pairs(large, label), sets), "between"))
+    label = components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(new))
     named = signed.join(classes.select(*name, "rep"), name, "left").select(
         "doc_id", "size", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"))
     return named.join(label, named["class_id"] == label["id"], "left").select(
