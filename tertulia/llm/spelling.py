@@ -99,10 +99,17 @@ def _slots(words: DataFrame) -> DataFrame:
                                   "before_a long, after_a long, before_b long, after_b long")
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Joined by a shuffle. Spark would size what Arrow batches make of the words as the words
+    themselves, and a written table as its compressed files, and gather millions of rows on the
+    driver to broadcast them."""
+    return df.hint("merge")
+
+
 def numbered(slots: DataFrame, a: str, b: str, node: str) -> DataFrame:
     """The rows with the number of the trie node that the fingerprint (a, b) stands for."""
     nodes = written(slots.select(a, b).distinct().select("*", F.monotonically_increasing_id().alias(node)), node)
-    return slots.join(nodes, [a, b]).drop(a, b)
+    return slots.join(_dealt(nodes), [a, b]).drop(a, b)
 
 
 def pairs(words: DataFrame) -> DataFrame:
@@ -125,9 +132,9 @@ def neighbours(words: DataFrame) -> DataFrame:
     every = written(pairs(words), "pairs")
     skips = every.where("skip").drop("skip")
     other = skips.select(F.col("word").alias("near"), F.col("n").alias("near_n"), "before", "after")
-    replaced = skips.join(other, ["before", "after"]).where("word <> near").where(_same_but_one("word", "near", "place", False))
+    replaced = skips.join(_dealt(other), ["before", "after"]).where("word <> near").where(_same_but_one("word", "near", "place", False))
     inserts = every.where("NOT skip").select(F.col("word").alias("near"), F.col("n").alias("near_n"), "before", "after")
-    deleted = skips.where("last").join(inserts, ["before", "after"]).where(_same_but_one("word", "near", "place", True))
+    deleted = skips.where("last").join(_dealt(inserts), ["before", "after"]).where(_same_but_one("word", "near", "place", True))
     deleted = deleted.select("word", "n", "near", "near_n")
     return replaced.select("word", "n", "near", "near_n").unionByName(deleted).unionByName(
         deleted.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
@@ -137,7 +144,7 @@ def forms(words: DataFrame, dominance: int = DOMINANCE) -> DataFrame:
     """word, n, n_near, form, form_n: the most frequent near word, where it is frequent enough."""
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near")))
     found = neighbours(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    joined = words.join(found, "word", "left")
+    joined = words.join(_dealt(found), "word", "left")
     form_n = -F.col("best.less")
     right = form_n >= dominance * F.col("n")
     return joined.select(
@@ -152,12 +159,12 @@ def rooted(found: DataFrame) -> DataFrame:
     steps = written(found.where("form IS NOT NULL").select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = steps.select(F.col("word").alias("via"), F.col("root").alias("then"))
-        further = steps.join(ahead, F.col("root") == F.col("via"), "left")
+        further = steps.join(_dealt(ahead), F.col("root") == F.col("via"), "left")
         steps = written(further.select("word", F.coalesce("then", "root").alias("root"), F.col("then").isNotNull().alias("moved")), "roots")
         if steps.where("moved").limit(1).count() == 0:
             break
         steps = steps.drop("moved")
-    return found.join(steps.select(F.col("word").alias("of"), "root"), F.col("word") == F.col("of"), "left").select(
+    return found.join(_dealt(steps.select(F.col("word").alias("of"), "root")), F.col("word") == F.col("of"), "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
