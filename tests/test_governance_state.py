@@ -57,3 +57,22 @@ def test_without_scores_or_runs(spark, tmp_path):
     governance_state.add_run([governance_state.state_row(df, "posts", score=None)], path, "run0")
     want = governance_row(df, "posts", score=None, computed_at="now").first().asDict()
     assert by_state(spark, path) == pytest.approx(want)
+
+
+def test_many_urls_and_scores_are_exact(spark, tmp_path):
+    """More urls and scores than sketches kept, in runs that share urls."""
+    path, parts = str(tmp_path / "state"), [posts(spark, 0, 50_000, 30_011), posts(spark, 20_000, 90_000, 41_017)]
+    for k, part in enumerate(parts):
+        governance_state.add_run([governance_state.state_row(part, "posts")], path, f"run{k}")
+    want = exact(parts[0].unionByName(parts[1]))
+    got = by_state(spark, path)
+    assert got == pytest.approx(want)
+    assert (got["duplicate_rate"], got["score_median"]) == (want["duplicate_rate"], want["score_median"])
+    assert governance_state.governance(spark, path, "now", ["run1"]).first()["score_median"] == exact(parts[1])["score_median"]
+
+
+def test_a_run_written_again_counts_once(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for low in (0, 300):
+        governance_state.add_run([governance_state.state_row(posts(spark, low, 1000, 700), "posts")], path, "run0")
+    assert by_state(spark, path) == pytest.approx(exact(posts(spark, 300, 1000, 700)))
