@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from tertulia.llm import near_dup
 from tests.llm import brute
 
@@ -48,3 +49,20 @@ def test_pairs_of_two_blocks_are_those_across(monkeypatch):
     root = np.arange(40)
     assert 0 < len(alike) < 780 and set(near_dup._alike(sets, root)) == alike
     assert set(near_dup._alike(sets, root, 13)) == {(i, j) for i, j in alike if j < 13 <= i}
+
+
+def test_the_pipeline_stage_keeps_one_of_each_large_group(spark, monkeypatch):
+    docs, rows = near_copies(60), []
+    kept = near_dup.written
+
+    def counted(df, name, **options):
+        out = kept(df, name, **options)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    monkeypatch.setattr(near_dup, "SMALL", 10)
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    out = stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert {r.doc_id for r in out.collect()} == {doc for doc, (_, _, one) in brute.op3(docs).items() if one}
+    assert max(rows) <= 48 * len(docs)
